@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timing import plain_time
 from tidemark.operators.ranking import top_k
-from tidemark.streaming.windows import in_panes, top_in_window, with_watermark
+from tidemark.streaming.windows import paned, top_in_window, windows_of, with_watermark
 
 
 def _best(user: str, weight: str):
@@ -24,21 +24,19 @@ def dashboard(posts: DataFrame, ts: str, size: str, slide: str, key: str = "lang
     so the same plan runs on streams; the best user is a mergeable minimum, so a
     busy key is reduced before it is shuffled.
     """
-    if posts.isStreaming or not in_panes(size, slide):
-        panes = with_watermark(posts, ts, delay)
-        window = F.window(ts, size, slide).alias("window")
-        counted = panes.groupBy(window, key).agg(
-            F.count(F.lit(1)).alias(count_as), F.round(F.avg(length), 2).alias(mean_as),
-            _best(user, weight).alias("best"))
-    else:
-        panes = posts.groupBy(F.window(ts, slide).alias("pane"), key).agg(
+    rows = with_watermark(posts, ts, delay)
+    if paned(posts, size, slide, delay):
+        panes = rows.groupBy(F.window(ts, slide).alias("pane"), key).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(length).alias("chars"),
             F.count(length).alias("sized"), _best(user, weight).alias("best"))
-        spread = panes.withColumn("window", F.window(F.col("pane.start"), size, slide))
         mean = F.sum("chars").cast("double") / F.nullif(F.sum("sized"), F.lit(0))
-        counted = spread.groupBy("window", key).agg(
+        counted = panes.groupBy(windows_of("pane", size, slide).alias("window"), key).agg(
             F.sum("rows").alias(count_as), F.round(mean, 2).alias(mean_as),
             F.min("best").alias("best"))
+    else:
+        counted = rows.groupBy(F.window(ts, size, slide).alias("window"), key).agg(
+            F.count(F.lit(1)).alias(count_as), F.round(F.avg(length), 2).alias(mean_as),
+            _best(user, weight).alias("best"))
     return counted.select(
         plain_time("window.start").alias("window_start"), plain_time("window.end").alias("window_end"),
         key, count_as, mean_as, F.col("best.u").alias(user), (-F.col("best.w")).alias(weight))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.nested import default_to, first_filled
 from tidemark.functions.numbers import cubed, floor_to, int_or_zero, multiple_above, ratio, scaled
 from tidemark.functions.timing import day_text, hour_of, parse_timestamp, plain_time
-from tidemark.operators.payloads import parse_json, quarantine
+from tidemark.operators.payloads import parse_json
 from tidemark.operators.projections import (flatten, originals, pack, renamed, require, where,
                                             with_derived)
 from tidemark.operators.reuse import reuse
@@ -143,10 +143,8 @@ def payload_quarantine(spark, sf_dir):
     props = F.when(F.col("event_type") == "error", F.substr("props", F.lit(1), F.length("props") - 1)
                    ).otherwise(F.col("props"))
     events = read(spark, sf_dir, "events").select("event_id", props.alias("props"))
-    good, bad = quarantine(parse_json(events, "props", "k BIGINT"))
-    paths = {"event_id": "event_id", "k": "payload.k"}
-    return (flatten(good, paths).withColumn("readable", F.lit(True))
-            .unionByName(flatten(bad, paths).withColumn("readable", F.lit(False))))
+    parsed = parse_json(events, "props", "k BIGINT")
+    return parsed.select("event_id", F.col("payload.k").alias("k"), (~F.col("bad")).alias("readable"))
 
 
 @book.query("MTH-1", """

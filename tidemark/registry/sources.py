@@ -113,7 +113,7 @@ def catalog_listing(spark, sf_dir):
                               FROM events""")
 def payload_schema(spark, sf_dir):
     events = read(spark, sf_dir, "events")
-    schema = infer_schema(events, "props", order_by="event_id")
+    schema = infer_schema(events, "props")
     return flatten(parse_json(events, "props", schema), {"event_id": "event_id", "k": "payload.k"})
 
 

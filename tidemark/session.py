@@ -13,10 +13,13 @@ RESULT_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 # Wanted at scale; only applied where the session owner left them unset.
 # RocksDB keeps streaming state off the heap, so state may outgrow memory;
 # changelog checkpoints upload the change of a batch rather than the whole state.
+# Skewed partitions of a join are split even if the aggregation after it then
+# needs a shuffle of its own.
 SCALE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

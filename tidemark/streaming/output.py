@@ -116,8 +116,9 @@ class BatchTable:
         """The newest row per key: the current result of an update-mode stream."""
         rows = self.all_batches()
         rest = [c for c in rows.columns if c not in (*keys, "batch")]
-        newest = F.max_by(F.struct(*rest), "batch").alias("_row")
-        return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+        # A key occurs once per batch, so the columns may be picked one by one,
+        # which leaves numbers to the hash aggregate; a struct would be sorted.
+        return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in rest))
 
 
 def complete_result(df: DataFrame, checkpoint: str | None = None,

@@ -48,19 +48,32 @@ def tumbling_count(stream: DataFrame, ts: str, size: str, keys: Sequence[str] =
     return counted.select(*_bounds(), *keys, name)
 
 
+def paned(stream: DataFrame, size: str, slide: str, delay: str | None) -> bool:
+    """Whether to aggregate per slide before spreading over the windows.
+
+    Overlapping windows multiply rows; aggregated slides are far fewer.  Needs
+    windows made of whole slides and, on a stream, a second aggregation, which
+    Spark allows in append mode, hence with a delay.
+    """
+    return in_panes(size, slide) and (not stream.isStreaming or delay is not None)
+
+
+def windows_of(pane: str, size: str, slide: str) -> Column:
+    """The windows a pane belongs to; a stream's watermark carries over."""
+    return F.window(F.window_time(pane), size, slide)
+
+
 def sliding_count(stream: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = (),
                   delay: str | None = None, name: str = "n") -> DataFrame:
     """Rows per overlapping window; keys with no row in a window do not appear in it."""
-    if stream.isStreaming or not in_panes(size, slide):
-        counted = (with_watermark(stream, ts, delay)
-                   .groupBy(F.window(ts, size, slide), *keys).agg(F.count(F.lit(1)).alias(name)))
-        return counted.select(*_bounds(), *keys, name)
-    # A stored table is counted per slide first; only those counts are spread
-    # over the windows they belong to, not the rows.
-    panes = (stream.groupBy(F.window(ts, slide).alias("pane"), *keys)
-             .agg(F.count(F.lit(1)).alias("pane_n")))
-    spread = panes.select(F.window(F.col("pane.start"), size, slide).alias("window"), *keys, "pane_n")
-    counted = spread.groupBy("window", *keys).agg(F.sum("pane_n").alias(name))
+    rows = with_watermark(stream, ts, delay)
+    if paned(stream, size, slide, delay):
+        panes = rows.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
+            F.count(F.lit(1)).alias("pane_n"))
+        counted = (panes.groupBy(windows_of("pane", size, slide).alias("window"), *keys)
+                   .agg(F.sum("pane_n").alias(name)))
+    else:
+        counted = rows.groupBy(F.window(ts, size, slide), *keys).agg(F.count(F.lit(1)).alias(name))
     return counted.select(*_bounds(), *keys, name)
 
 
