@@ -28,7 +28,9 @@ def _events(spark, sf_dir):
     return stream_events(spark, f"{sf_dir}/events.parquet")
 
 
-RESHARE = F.when(F.col("event_type") == "error", F.col("event_id"))
+def _reshare_of():
+    """Errors stand for reshares of something."""
+    return F.when(F.col("event_type") == "error", F.col("event_id"))
 
 
 @book.query("STR-1 STR-8 STR-10 PRJ-8", """
@@ -37,7 +39,7 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
 FROM events WHERE event_type <> 'error' GROUP BY 1, 2
 HAVING window_end <= (SELECT max(ts) FROM events WHERE event_type <> 'error') - INTERVAL 1 HOUR""")
 def originals_per_hour(spark, sf_dir):
-    originals_only = originals(_events(spark, sf_dir), RESHARE)
+    originals_only = originals(_events(spark, sf_dir), _reshare_of())
     return append_result(tumbling_count(originals_only, "ts", "1 hour", delay="1 hour"))
 
 
