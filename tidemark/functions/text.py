@@ -25,6 +25,11 @@ def normalized(c: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(as_column(c)), SEPARATORS, " "))
 
 
+def split_words(c: str | Column) -> Column:
+    """The words of the normalized text in one pass; the first or last may be empty."""
+    return F.split(F.lower(as_column(c)), SEPARATORS)
+
+
 def ends_with_any(c: str | Column, endings: Iterable[str] = VOWELS) -> Column:
     return F.right(as_column(c), F.lit(1)).isin(*endings)
 

@@ -91,9 +91,11 @@ def hourly_profile(posts: DataFrame, ts: str, name: str = "posts",
     counts = hourly_counts(posts, ts, name)
     if not zero_fill:
         return counts.groupBy("hour").agg(F.avg(name).alias(name))
-    days = counts.agg(F.countDistinct("day")).scalar()
-    return (counts.groupBy("hour").agg(F.sum(name).alias(name))
-            .withColumn(name, F.col(name) / days))
+    # One row with the number of days and a total per hour: the table is read once.
+    totals = [F.coalesce(F.sum(F.when(F.col("hour") == h, F.col(name))), F.lit(0)) for h in range(24)]
+    whole = counts.agg(F.countDistinct("day").alias("days"), F.array(*totals).alias("totals"))
+    return (whole.select("days", F.posexplode("totals").alias("hour", name))
+            .where(F.col(name) > 0).select("hour", (F.col(name) / F.col("days")).alias(name)))
 
 
 def expand_estimate(df: DataFrame, column: str, fraction: float) -> DataFrame:

@@ -17,7 +17,10 @@ def parse_json(df: DataFrame, column: str, schema: T.StructType | str,
     A missing payload is bad as well: neither kind can pass for a row whose
     fields merely are null.
     """
-    parsed = df.withColumn(into, json_struct(as_column(column).cast("string"), schema))
+    payload = json_struct(as_column(column).cast("string"), schema)
+    # Exploding an array of one keeps later filters above the parser.  Pushed below
+    # it they would each parse the text again.
+    parsed = df.withColumn(into, F.explode(F.array(payload)))
     return parsed.withColumn(bad, F.col(into).isNull() | F.col(f"{into}.{CORRUPT}").isNotNull())
 
 

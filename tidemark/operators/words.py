@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import json_field
-from tidemark.functions.text import VOWELS, ends_with_any, normalized
+from tidemark.functions.text import VOWELS, ends_with_any, split_words
 from tidemark.operators.aggregates import count_by
 from tidemark.operators.ranking import top_k
 
@@ -22,7 +22,7 @@ def texts_of(lines: DataFrame, field: str, line: str = "line", text_as: str = "t
 def tokens(df: DataFrame, text: str | Column, *keep: str, max_len: int = 6,
            word_as: str = "word") -> DataFrame:
     """One row per word of the normalized text, at most ``max_len`` characters long."""
-    return (df.select(*keep, F.explode(F.split(normalized(text), " ")).alias(word_as))
+    return (df.select(*keep, F.explode(split_words(text)).alias(word_as))
             .where(F.length(word_as).between(1, max_len)))
 
 

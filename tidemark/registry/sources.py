@@ -15,7 +15,7 @@ from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 from tidemark.sources.catalog import catalog_tables, register, scan_table, unregister
 from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
-from tidemark.sources.integrity import (file_digests, file_manifest, publish_validated,
+from tidemark.sources.integrity import (file_digests, file_manifest, publish_validated, sample_rows,
                                         table_report, validate_dataset)
 from tidemark.sources.records import (decode_values, read_backlog, stream_records, to_records,
                                       write_records)
@@ -172,6 +172,13 @@ def dataset_manifest(spark, sf_dir):
     return manifest.agg(F.sum("rows").alias("rows"), F.sum("corrupt_rows").alias("corrupt_rows"))
 
 
+@book.query("SRC-13 SRT-3", """SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS id, o_orderstatus AS status
+                               FROM orders ORDER BY day, strftime(o_orderdate, '%H:%M'), id LIMIT 5""")
+def dataset_sample(spark, sf_dir):
+    rows = sample_rows(spark, _orders_csv(spark, sf_dir), ORDER_CSV)
+    return rows.select("day", "id", "status")
+
+
 @book.query("SRC-13")
 def dataset_digests(spark, sf_dir):
     return file_digests(spark, _orders_csv(spark, sf_dir)).select("length", "md5")

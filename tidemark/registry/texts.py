@@ -62,10 +62,11 @@ def words_ending_in_letters(spark, sf_dir):
     return top_words_ending(counts, 20, ("n", "s"), rank_as="place")
 
 
-# The pages hold four entities; the ampersand has to come last.
+# The pages hold four entities, and titles cut short leave an ampersand without
+# its semicolon; the ampersand has to come last.
 @book.query("TXT-6", """
-SELECT page_id, replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'),
-       '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS body FROM pages""")
+SELECT page_id, regexp_replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'),
+       '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS body FROM pages""")
 def page_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", html_to_text("html").alias("body"))
 

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.hashing import row_checksum
 from tidemark.functions.payload import CORRUPT, with_corrupt_field
-from tidemark.sources.files import as_struct, ddl_of
+from tidemark.operators.ranking import preview
+from tidemark.sources.files import as_struct, ddl_of, scan_csv
 
 FILE_COLUMNS = ("file_name", "file_size", "file_modified")
 
@@ -60,6 +61,12 @@ def file_digests(spark: SparkSession, path: str, max_bytes: int = 64 * 1024 * 10
             .select("path", "length", F.md5("content").alias("md5")))
 
 
+def sample_rows(spark: SparkSession, path: str, schema: T.StructType | str, n: int = 5,
+                sep: str = ",") -> DataFrame:
+    """A few rows as they parse, to look at; the same ones every time."""
+    return preview(scan_csv(spark, path, schema, sep=sep), n)
+
+
 def validate_dataset(spark: SparkSession, path: str, schema: T.StructType | str,
                      sep: str = ",") -> DataFrame:
     """One row on the whole data set, with a verdict.

@@ -14,12 +14,16 @@ def stream_table(spark: SparkSession, path: str, per_trigger: int | None = None)
     its result does not depend on how many files there are or how they are listed.
     """
     path = path.rstrip("/")
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    stored = spark.read.parquet(path)
+    reader = spark.readStream.schema(stored.schema)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    # As a pattern that matches just this path: the stream source takes a plain
-    # path for a folder, and a table may be a single file.
-    return reader.parquet(f"{path[:-1]}{{{path[-1]}}}")
+    files = stored.inputFiles()
+    if len(files) == 1 and files[0].rsplit("/", 1)[-1] == path.rsplit("/", 1)[-1]:
+        # The stream source takes a plain path for a folder.  A single file is
+        # given as a pattern that matches only itself.
+        path = f"{path[:-1]}{{{path[-1]}}}"
+    return reader.parquet(path)
 
 
 def stream_events(spark: SparkSession, path: str, ts: str = "ts",
@@ -28,7 +32,10 @@ def stream_events(spark: SparkSession, path: str, ts: str = "ts",
     return stream_table(spark, path, per_trigger).withColumn(ts, event_time(ts))
 
 
-def land(df: DataFrame, path: str) -> str:
-    """Add rows to a landing folder, for a stream over it to pick up (runs a job)."""
-    df.write.mode("append").parquet(path)
+def land(df: DataFrame, path: str, *by: str) -> str:
+    """Add rows to a landing folder, for a stream over it to pick up (runs a job).
+
+    ``by`` names columns to lay the files out by.
+    """
+    df.write.mode("append").partitionBy(*by).parquet(path)
     return path
