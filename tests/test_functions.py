@@ -1,4 +1,7 @@
 import html
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -68,6 +71,22 @@ def test_default_vowels_leave_out_a_acute(spark):
     assert evaluate(spark, ["irá"], ends_with_any("v", ["á"])) == [True]
 
 
+UNPICKLE = """
+import pickle, sys, pandas as pd
+decode = pickle.loads(bytes.fromhex(sys.argv[1]))
+print(next(decode(iter([pd.Series(["a &amp; b", None])]))).tolist(), "tidemark" in sys.modules)
+"""
+
+
+def test_decoder_runs_where_this_package_is_missing():
+    from pyspark.cloudpickle import dumps
+
+    from tidemark.functions.text import _entity_decoder
+    done = subprocess.run([sys.executable, "-c", UNPICKLE, dumps(_entity_decoder().func).hex()],
+                          cwd="/", env={"PATH": os.environ["PATH"]}, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "['a & b', None] False", done.stderr[-1000:]
+
+
 MARKUP = ["<p>Fish &amp; chips</p>", "a<br/>b", "&lt;b&gt; &quot;x&quot; &#233; &#x20AC; &nbsp;&hellip;",
           "<a href='x?a=1&b=2'>link</a> &notareal; &copy 2020", "no markup", "", None, "&amp;amp; <i\n>x</i>"]
 

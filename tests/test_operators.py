@@ -156,7 +156,8 @@ def test_uniform_sample_is_the_same_on_any_layout(spark):
 def test_stratified_sample_drops_strata_without_fraction(spark):
     df = spark.range(9000).select("id", F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")),
                                                      (F.col("id") % 3 + 1).cast("int")).alias("k"))
-    fractions = spark.createDataFrame([("a", 1.0), ("b", 0.2), ("unused", 0.5)], "k STRING, fraction DOUBLE")
+    fractions = spark.createDataFrame([("a", 1.0), ("b", 0.2), ("c", None), ("unused", 0.5)],
+                                      "k STRING, fraction DOUBLE")
     got = dict(rows(count_by(sample_stratified(df, "k", fractions, "id"), "k")))
     assert got["a"] == 3000 and 450 < got["b"] < 750 and "c" not in got
     layouts = [rows(sample_stratified(df.repartition(n), "k", stage(fractions), "id")) for n in (1, 8)]
@@ -242,11 +243,11 @@ def test_orders_and_ties(spark):
 
 
 def test_best_in_group_breaks_ties_by_name(spark):
-    df = spark.createDataFrame([("es", "zoe", 9, 4), ("es", "ann", 9, 6), ("es", "bo", 1, 5), ("ca", "cy", 2, 3)],
+    df = spark.createDataFrame([("es", "zoe", 9, 4), ("es", "ann", 9, 6), ("es", "bo", 1, 5), ("ca", "cy", 2, 3), ("ca", "al", None, 3)],
                                "language STRING, user STRING, followers BIGINT, size INT")
     best = top_per_group(df, "language", [F.col("followers").desc(), "user"])
     assert rows(best.select("language", "user")) == [("ca", "cy"), ("es", "ann")]
-    want = [("ca", 1, 3.0, "cy", 2), ("es", 3, 5.0, "ann", 9)]
+    want = [("ca", 2, 3.0, "cy", 2), ("es", 3, 5.0, "ann", 9)]
     assert rows(aggregate_with_top(df, "language", "size", "user", "followers")) == want
     assert [tuple(r) for r in dashboard_sql(df, "best_view").collect()] == want[::-1]
 

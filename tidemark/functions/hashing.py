@@ -20,8 +20,10 @@ def hash_point(key: str | Column, seed: int) -> Column:
 
 
 def hash_threshold(fraction: str | float | Column) -> Column:
+    """The hash point below which a row is kept; null, so no row, for a null fraction."""
     share = F.lit(float(fraction)) if isinstance(fraction, (int, float)) else as_column(fraction)
-    return F.floor(F.least(share, F.lit(1.0)) * F.lit(float(HASH_RANGE))).cast("bigint")
+    capped = F.when(share > 1.0, F.lit(1.0)).otherwise(share)
+    return F.floor(capped * F.lit(float(HASH_RANGE))).cast("bigint")
 
 
 def row_checksum(columns: Sequence[str]) -> Column:

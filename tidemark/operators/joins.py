@@ -37,16 +37,22 @@ def ratio_to_capacity(dimension: DataFrame, counts: DataFrame, dimension_key: st
             .select(dimension_key, measure, capacity, ratio(measure, capacity).alias(ratio_as)))
 
 
+def least_pair(user: str, weight: str) -> Column:
+    """Aggregate whose fields ``u`` and ``w`` are the user of greatest weight and that weight negated."""
+    w = F.col(weight)
+    return F.min(F.struct(w.isNull().alias("unknown"), (-w).alias("w"), F.col(user).alias("u")))
+
+
 def aggregate_with_top(df: DataFrame, key: str | Column, size: str, user: str, weight: str,
                        count_as: str = "n", mean_as: str = "avg_size",
                        decimals: int = 2) -> DataFrame:
     """Per key: row count, mean size, and the user of greatest weight (then first by name).
 
-    One pass.  The best user is the least (-weight, user) pair, so no ranking and
-    no join back is needed.
+    One pass.  The best user is the least (-weight, user) pair, unknown weights
+    last, so no ranking and no join back is needed.
     """
     key_column = F.col(key) if isinstance(key, str) else key
-    best = F.min(F.struct((-F.col(weight)).alias("w"), F.col(user).alias("u"))).alias("_best")
+    best = least_pair(user, weight).alias("_best")
     return (df.groupBy(key_column)
             .agg(F.count(F.lit(1)).alias(count_as),
                  F.round(F.avg(size), decimals).alias(mean_as), best)

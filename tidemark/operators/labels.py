@@ -28,10 +28,10 @@ def label_lists(df: DataFrame, labels: Mapping[str, Column], value: str, *carrie
     ``value`` is a whole number.  Equal elements are counted before they are
     gathered, and a list covers ``span`` consecutive values, so no list outgrows
     the span however often a value occurs; a group wider than that is several
-    rows, ordered by ``part``.
+    rows, ordered by ``part``, where the span starts.
     """
     counted = (label_members(df, labels, name).groupBy(name, value, *carried)
                .agg(F.count(F.lit(1)).alias("copies")))
-    part = F.floor(F.col(value) / F.lit(span)).cast("bigint")
+    part = (F.col(value) - F.pmod(F.col(value), F.lit(span))).cast("bigint")
     return (counted.groupBy(name, part.alias("part"))
             .agg(F.sort_array(F.collect_list(F.struct(value, *carried, "copies"))).alias("members")))

@@ -19,7 +19,10 @@ from tidemark.functions.numbers import floor_to
 
 def sample_uniform(df: DataFrame, key: str | Column, fraction: float, seed: int = 42,
                    mode: str = "hash") -> DataFrame:
-    """About ``fraction`` of the rows, without replacement."""
+    """About ``fraction`` of the rows, without replacement.
+
+    ``key`` should differ from row to row: rows of one key stay or go together.
+    """
     if mode == "native":
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     if mode != "hash":

@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import plain_time
+from tidemark.operators.joins import least_pair
 from tidemark.operators.ranking import top_k
 from tidemark.streaming.windows import paned, top_in_window, windows_of, with_watermark
 
 
-def _best(user: str, weight: str):
-    return F.min(F.struct((-F.col(weight)).alias("w"), F.col(user).alias("u")))
-
-
 def dashboard(posts: DataFrame, ts: str, size: str, slide: str, key: str = "language",
               length: str = "size", user: str = "user", weight: str = "followers",
               delay: str | None = None, count_as: str = "n",
@@ -28,7 +25,7 @@ def dashboard(posts: DataFrame, ts: str, size: str, slide: str, key: str = "lang
     if paned(posts, size, slide, delay):
         panes = rows.groupBy(F.window(ts, slide).alias("pane"), key).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(length).alias("chars"),
-            F.count(length).alias("sized"), _best(user, weight).alias("best"))
+            F.count(length).alias("sized"), least_pair(user, weight).alias("best"))
         mean = F.sum("chars").cast("double") / F.nullif(F.sum("sized"), F.lit(0))
         counted = panes.groupBy(windows_of("pane", size, slide).alias("window"), key).agg(
             F.sum("rows").alias(count_as), F.round(mean, 2).alias(mean_as),
@@ -36,7 +33,7 @@ def dashboard(posts: DataFrame, ts: str, size: str, slide: str, key: str = "lang
     else:
         counted = rows.groupBy(F.window(ts, size, slide).alias("window"), key).agg(
             F.count(F.lit(1)).alias(count_as), F.round(F.avg(length), 2).alias(mean_as),
-            _best(user, weight).alias("best"))
+            least_pair(user, weight).alias("best"))
     return counted.select(
         plain_time("window.start").alias("window_start"), plain_time("window.end").alias("window_end"),
         key, count_as, mean_as, F.col("best.u").alias(user), (-F.col("best.w")).alias(weight))
@@ -49,7 +46,7 @@ def busiest(rows: DataFrame, k: int = 10, key: str = "language", count: str = "n
 
 DASHBOARD_SQL = """
 SELECT {key}, count(*) AS n, round(avg({length}), 2) AS avg_size,
-       min_by({user}, struct(-{weight}, {user})) AS {user}, max({weight}) AS {weight}
+       min_by({user}, struct({weight} IS NULL, -{weight}, {user})) AS {user}, max({weight}) AS {weight}
 FROM {view} GROUP BY {key}
 """
 

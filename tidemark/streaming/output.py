@@ -95,6 +95,13 @@ class BatchTable:
         self.schema = None
         self.last: int | None = None
 
+    def _find_last(self) -> None:
+        """Take up a table written by an earlier run, for a stream that found nothing new."""
+        if self.last is None:
+            rows = self.spark.read.parquet(self.path)
+            self.schema = rows.drop("batch").schema
+            self.last = rows.agg(F.max("batch")).first()[0]
+
     def __call__(self, batch: DataFrame, number: int) -> None:
         result = self.prepare(batch) if self.prepare else batch
         result.write.mode("overwrite").parquet(f"{self.path}/batch={number}")
@@ -102,14 +109,12 @@ class BatchTable:
 
     def snapshot(self) -> DataFrame:
         """What the latest batch wrote: the whole result of a complete-mode stream."""
-        if self.last is None:
-            raise RuntimeError("no batch has been written")
+        self._find_last()
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={self.last}")
 
     def all_batches(self) -> DataFrame:
         """The rows of every batch, with its number in ``batch``."""
-        if self.last is None:
-            raise RuntimeError("no batch has been written")
+        self._find_last()
         return self.spark.read.schema(f"{ddl_of(self.schema)}, batch BIGINT").parquet(self.path)
 
     def latest_by(self, *keys: str) -> DataFrame:
@@ -122,16 +127,24 @@ class BatchTable:
 
 
 def complete_result(df: DataFrame, checkpoint: str | None = None,
-                    prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run a complete-mode stream over what is there now; return its final result."""
-    table = BatchTable(df.sparkSession, prepare=prepare)
+                    prepare: Callable[[DataFrame], DataFrame] | None = None,
+                    path: str | None = None) -> DataFrame:
+    """Run a complete-mode stream over what is there now; return its final result.
+
+    To carry on from an earlier run give its ``checkpoint`` and ``path``.
+    """
+    table = BatchTable(df.sparkSession, path, prepare)
     drain(for_each_batch(df, table, "complete", checkpoint))
     return table.snapshot()
 
 
-def updated_result(df: DataFrame, *keys: str, checkpoint: str | None = None) -> DataFrame:
-    """Run an update-mode stream over what is there now; return the newest row per key."""
-    table = BatchTable(df.sparkSession)
+def updated_result(df: DataFrame, *keys: str, checkpoint: str | None = None,
+                   path: str | None = None) -> DataFrame:
+    """Run an update-mode stream over what is there now; return the newest row per key.
+
+    To carry on from an earlier run give its ``checkpoint`` and ``path``.
+    """
+    table = BatchTable(df.sparkSession, path)
     drain(for_each_batch(df, table, "update", checkpoint))
     return table.latest_by(*keys)
 
