@@ -78,7 +78,7 @@ print(next(decode(iter([pd.Series(["a &amp; b", None])]))).tolist(), "tidemark"
 """
 
 
-def test_decoder_runs_where_this_package_is_missing():
+def test_decoder_runs_where_this_package_is_missing(spark):
     from pyspark.cloudpickle import dumps
 
     from tidemark.functions.text import _entity_decoder
