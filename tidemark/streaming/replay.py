@@ -18,8 +18,8 @@ def stream_table(spark: SparkSession, path: str, per_trigger: int | None = None)
     reader = spark.readStream.schema(stored.schema)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    files = stored.inputFiles()
-    if len(files) == 1 and files[0].rsplit("/", 1)[-1] == path.rsplit("/", 1)[-1]:
+    found = stored.select("_metadata.file_name").head()
+    if found and found[0] == path.rsplit("/", 1)[-1]:
         # The stream source takes a plain path for a folder.  A single file is
         # given as a pattern that matches only itself.
         path = f"{path[:-1]}{{{path[-1]}}}"
