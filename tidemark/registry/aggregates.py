@@ -63,10 +63,11 @@ def place_counts_pairs(spark, sf_dir):
     return counts_by_pairs(places(spark, sf_dir), "place.name")
 
 
-@book.query("AGG-8 DTM-1", """SELECT CAST(ts AS DATE) AS day, CAST(extract(hour FROM ts) AS INTEGER) AS hour,
+@book.query("AGG-8 DTM-1", """SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(extract(hour FROM ts) AS INTEGER) AS hour,
                                      count(*) AS posts FROM events GROUP BY 1, 2""")
 def counts_per_day_and_hour(spark, sf_dir):
-    return hourly_counts(read(spark, sf_dir, "events"), "ts")
+    counts = hourly_counts(read(spark, sf_dir, "events"), "ts")
+    return counts.withColumn("day", F.col("day").cast("string"))
 
 
 HOURLY = """

@@ -172,11 +172,11 @@ def dataset_manifest(spark, sf_dir):
     return manifest.agg(F.sum("rows").alias("rows"), F.sum("corrupt_rows").alias("corrupt_rows"))
 
 
-@book.query("SRC-13 SRT-3", """SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS id, o_orderstatus AS status
+@book.query("SRC-13 SRT-3", """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey AS id, o_orderstatus AS status
                                FROM orders ORDER BY day, strftime(o_orderdate, '%H:%M'), id LIMIT 5""")
 def dataset_sample(spark, sf_dir):
     rows = sample_rows(spark, _orders_csv(spark, sf_dir), ORDER_CSV)
-    return rows.select("day", "id", "status")
+    return rows.select(F.col("day").cast("string").alias("day"), "id", "status")
 
 
 @book.query("SRC-13", "SELECT count(*) > 0 AS digested, 0::BIGINT AS unmatched FROM orders")
@@ -188,10 +188,10 @@ def dataset_digests(spark, sf_dir):
 
 
 @book.query("SRC-14 SRC-13", """SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status,
-                                       CAST(o_orderdate AS DATE) AS day FROM orders""")
+                                       strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""")
 def published_csv(spark, sf_dir):
     copy = publish_csv(spark, _orders_csv(spark, sf_dir), ORDER_CSV, scratch_path(spark, "published"))
-    return copy.select("id", "price", "status", "day")
+    return copy.select("id", "price", "status", F.col("day").cast("string").alias("day"))
 
 
 @book.query("SRC-14", "SELECT * FROM supplier")

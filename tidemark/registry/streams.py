@@ -279,7 +279,8 @@ def restarted_total(spark, sf_dir):
     return totals
 
 
-@book.query("STR-13", """SELECT event_type, max(value) AS highest, sum(value::DECIMAL(18, 2)) AS total
+@book.query("STR-13", """SELECT event_type, max(value) AS highest,
+                               CAST(sum(value::DECIMAL(18, 2)) AS DOUBLE) AS total
                          FROM events GROUP BY event_type""")
 def batch_callback(spark, sf_dir):
     """Any batch operator inside the callback; partial results are merged on reading."""
@@ -287,4 +288,4 @@ def batch_callback(spark, sf_dir):
         F.max("value").alias("highest"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total")))
     drain(for_each_batch(_events(spark, sf_dir), table))
     return table.all_batches().groupBy("event_type").agg(
-        F.max("highest").alias("highest"), F.sum("total").cast("decimal(38,2)").alias("total"))
+        F.max("highest").alias("highest"), F.sum("total").cast("double").alias("total"))
