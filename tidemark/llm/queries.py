@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, sql
+from tidemark.llm import decontaminate, mixing, sharding, sql
 from tidemark.registry import QueryBook, read
 
 book = QueryBook()
 
 
+@book.query("LLM-1", sql.HITS)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of all documents lie in windows of the benchmark, and of which items."""
+    found = decontaminate.report(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
 @book.query("LLM-2", sql.SHARDS)
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 shards that each match the mixture of sources."""

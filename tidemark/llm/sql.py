@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+HITS = f"""
+WITH items AS (
+    SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM benchmark),
+grams AS (
+    SELECT DISTINCT item, least(len(words), 10) AS length,
+        unnest([array_to_string(words[i + 1:i + 10], ' ') FOR i IN range(greatest(len(words) - 10, 0) + 1)]) AS gram
+    FROM items WHERE len(words) > 0),
+texts AS (
+    SELECT row_number() OVER () AS doc_row, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM documents),
+windows AS (
+    SELECT doc_row, length, start, array_to_string(words[start + 1:start + length], ' ') AS gram
+    FROM (SELECT doc_row, words, length, unnest(range(len(words) - length + 1)) AS start
+          FROM texts, (SELECT DISTINCT length FROM grams) WHERE len(words) >= length)),
+found AS (SELECT doc_row, start, length, item FROM windows JOIN grams USING (length, gram)),
+hit AS (SELECT doc_row, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_row, unnest(range(start, start + length)) AS place FROM found) GROUP BY doc_row),
+named AS (SELECT doc_row, list(DISTINCT item ORDER BY item) FILTER (item IS NOT NULL) AS items FROM found GROUP BY doc_row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(len(items), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (doc_row) LEFT JOIN named USING (doc_row)
+"""
+
 _CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
 
 SHARDS = f"""
