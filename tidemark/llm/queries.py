@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, sharding, sql
+from tidemark.llm import decontaminate, mixing, sharding, sql, warc
 from tidemark.registry import QueryBook, read
+from tidemark.scratch import scratch_path
 
 book = QueryBook()
 
@@ -36,3 +37,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix of all sources takes from each document."""
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
+
+
+@book.query("LLM-7", sql.CAPTURES)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back from them."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(read(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    found = warc.captures(warc.read_archives(spark, path))
+    return found.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))

@@ -87,3 +87,16 @@ WITH {_SIZED}
 SELECT doc_id, size, source_size, any_value(target) AS target, (size * count(*) FILTER (taken))::BIGINT AS taken
 FROM queue GROUP BY doc_id, key, size, source_size
 """
+
+_FIVE = "('0x' || digest[5 * i + 1:5 * i + 5])::INTEGER"
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({_FIVE} >> {k}) & 31) + 1, 1)" for k in (15, 10, 5, 0))
+
+CAPTURES = f"""
+WITH pages_of AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+largest AS (SELECT *, max(page_id) OVER (PARTITION BY digest, payload_bytes) AS response FROM pages_of)
+SELECT page_id, payload_bytes, array_to_string([{_BASE32} FOR i IN range(8)], '') AS payload_digest,
+    CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM largest
+"""
