@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, sharding, sql, warc
+from tidemark.llm import decontaminate, mixing, nearest, sharding, sql, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -47,3 +47,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.captures(warc.read_archives(spark, path))
     return found.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@book.query("LLM-8", sql.NEAREST)
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors to each vector whose id is divisible by 100."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"))

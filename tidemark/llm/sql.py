@@ -100,3 +100,17 @@ SELECT page_id, payload_bytes, array_to_string([{_BASE32} FOR i IN range(8)], ''
     CASE WHEN page_id <> response THEN response END AS refers_to
 FROM largest
 """
+
+NEAREST = """
+WITH vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_prepend(0.0::DOUBLE, [(q.v[i] - c.v[i]) * (q.v[i] - c.v[i]) FOR i IN range(1, len(q.v) + 1)]),
+        lambda s, x: s + x)) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
