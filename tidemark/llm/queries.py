@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, nearest, sharding, sql, warc
+from tidemark.llm import decontaminate, mixing, nearest, sharding, sql, url_filter, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -54,3 +54,14 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors to each vector whose id is divisible by 100."""
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+URL_RULES = [url_filter.Rule("block", "net"), url_filter.Rule("allow", "example.net", "/en/"),
+             url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+
+
+@book.query("LLM-10")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page urls judged by rules, else by the links between hosts."""
+    judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
