@@ -12,9 +12,9 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def packed(df: DataFrame, **columns: Column) -> DataFrame:
-    """The input row as one struct beside working columns, so that no names can clash."""
-    row = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias(ROW)
+def packed(df: DataFrame, keep: list[str] | None = None, /, **columns: Column) -> DataFrame:
+    """The input row, or its columns ``keep``, as one struct beside working columns, so that no names can clash."""
+    row = F.struct(*[F.col(quoted(c)) for c in (df.columns if keep is None else keep)]).alias(ROW)
     return df.select(row, *[column.alias(name) for name, column in columns.items()])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, nearest, sharding, sql, url_filter, warc
+from tidemark.llm import decontaminate, mixing, near_dup, nearest, sharding, sql, url_filter, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -39,6 +39,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
 
 
+@book.query("LLM-6")
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of near-duplicates they are in."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.classify(docs, keep=["doc_id"]).select("doc_id", "class_id", "representative")
+
+
 @book.query("LLM-7", sql.CAPTURES)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back from them."""
