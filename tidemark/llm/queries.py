@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, near_dup, nearest, sharding, sql, url_filter, warc
+from tidemark.llm import decontaminate, language_id, mixing, near_dup, nearest, sharding, sql, url_filter, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -39,6 +39,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
 
 
+@book.query("LLM-4")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = docs.where(~language_id.held_out(F.col("doc_id")))
+    model = language_id.train(language_id.training_sample(learned, "doc_id", "text", "lang"))
+    found = language_id.predict(docs, model, keep=["doc_id"])
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @book.query("LLM-6")
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of near-duplicates they are in."""
