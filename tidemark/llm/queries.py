@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language_id, mixing, near_dup, nearest, sharding, sql, url_filter, warc
+from tidemark.llm import decontaminate, language_id, mixing, near_dup, nearest, sharding, sql, toxicity, url_filter, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -49,6 +49,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@book.query("LLM-5")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected severity of all documents, learned from a bounded sample of the labelled ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity.toxic_grades(read(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model, keep=["doc_id"])
+
+
 @book.query("LLM-6")
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of near-duplicates they are in."""
