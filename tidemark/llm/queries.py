@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language_id, mixing, near_dup, nearest, sharding, sql, toxicity, url_filter, warc
+from tidemark.llm import decontaminate, extraction, language_id, mixing, near_dup, nearest, sharding, sql, toxicity, url_filter, warc
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -81,6 +81,12 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+@book.query("LLM-9")
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return extraction.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 URL_RULES = [url_filter.Rule("block", "net"), url_filter.Rule("allow", "example.net", "/en/"),
              url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
 
