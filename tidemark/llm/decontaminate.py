@@ -6,10 +6,11 @@ broadcast hash set.  A document is scanned in two steps:
 1. Any occurrence of a window of ``w`` words holds a whole block of ``b = ceil(w / 2)``
    words that starts at a multiple of ``w - b + 1``.  So only these aligned blocks of a
    document are hashed and looked up among all blocks of the benchmark.
-2. Documents with a known block have all their windows looked up, word for word.
+2. Documents with a known block have all their windows looked up by a 64-bit hash, and those
+   found are verified by a second, independent one; reports also join them word for word.
 
-Both steps run inside the scan: no document is exploded or shuffled.  The sets travel as
-literals, so their size is checked first.  A benchmark of more than ``MAX_GRAMS`` windows
+Both steps run inside the scan: no document is exploded or shuffled.  The sets of hashes
+travel as literals, so their size is checked first.  A benchmark of more than ``MAX_GRAMS`` windows
 is joined instead: windows of all documents against windows of the benchmark.
 
 Null texts, texts without words and items without words have no windows.  Items without
@@ -35,6 +36,8 @@ WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 CASED_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HITS = "array<struct<start:int,len:int,gram:string>>"
+#: Independent of the 64-bit hash that finds a window.
+SECOND_HASH = "CAST(conv(substring(md5(gram), 1, 15), 16, 10) AS bigint)"
 
 
 def words_of(text: Column) -> Column:
@@ -64,29 +67,32 @@ def benchmark_grams(benchmark: DataFrame, id: str = "item_id", text: str = "text
     return full.unionByName(short).select("item", "w.len", "w.gram").distinct()
 
 
+def _listed(hashes) -> str:
+    return ", ".join(f"{h}L" for h in hashes)
+
+
 def _marked(rows: DataFrame, grams: DataFrame, max_grams: int) -> DataFrame:
     """``rows`` (with ``words``) and ``hits``: where windows of the benchmark occur."""
     known = grams.select("len", "gram").distinct()
     lengths = sorted(r["len"] for r in known.select("len").distinct().collect())
     if known.count() > max_grams:
         return _joined(rows, known, lengths)
-    by_length = {length: [] for length in lengths}
-    for r in known.collect():
-        by_length[r["len"]].append(r["gram"])
-    words = F.col("words")
     hits = []
-    for length, members in by_length.items():
+    for length in lengths:
         block, step = _block(length)
-        parts = F.split(F.col("gram"), " ")
-        hashes = [r[0] for r in known.where(F.col("len") == length).select(F.explode(F.transform(
-            F.sequence(F.lit(1), F.lit(length - block + 1)),
-            lambda i: F.xxhash64(F.slice(parts, i, block))))).distinct().collect()]
-        aligned = F.sequence(F.lit(1), F.size(words) - block + 1, F.lit(step))
-        seen = F.when(F.size(words) >= length, F.exists(
-            aligned, lambda i: F.xxhash64(F.slice(words, i, block)).isin(hashes))).otherwise(F.lit(False))
-        rows = rows.withColumn(f"seen{length}", seen)
-        hits.append(F.when(F.col(f"seen{length}"), F.filter(
-            _windows(words, length), lambda w: w["gram"].isin(members))).otherwise(F.array().cast(HITS)))
+        own = known.where(F.col("len") == length)
+        pairs = own.select(F.xxhash64("gram"), F.expr(SECOND_HASH)).collect()
+        blocks = own.select(F.explode(F.expr(f"""transform(sequence(1, {length - block + 1}),
+            i -> xxhash64(slice(split(gram, ' '), i, {block})))"""))).distinct().collect()
+        rows = rows.withColumn(f"seen{length}", F.expr(f"""CASE WHEN size(words) >= {length} THEN
+            exists(sequence(1, size(words) - {block - 1}, {step}),
+                   i -> xxhash64(slice(words, i, {block})) IN ({_listed(b[0] for b in blocks)})) ELSE false END"""))
+        hits.append(F.expr(f"""CASE WHEN seen{length} THEN filter(
+            transform(sequence(0, size(words) - {length}), i -> struct(
+                i AS start, {length} AS len, array_join(slice(words, i + 1, {length}), ' ') AS gram)),
+            w -> xxhash64(w.gram) IN ({_listed(p[0] for p in pairs)})
+                 AND {SECOND_HASH.replace("gram", "w.gram")} IN ({_listed(p[1] for p in pairs)}))
+            ELSE CAST(array() AS {HITS}) END"""))
     found = F.array_sort(F.concat(*hits)) if hits else F.array().cast(HITS)
     return rows.withColumn("hits", found)
 
@@ -120,7 +126,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     Runs jobs over the benchmark only (over the documents too, if it is above ``max_grams``).
     """
     grams = stage(benchmark_grams(benchmark, item_id, item_text, window), "benchmark-grams")
-    return _marked(packed(docs, words=words_of(F.col(text))), grams, max_grams), grams
+    # Exploded from an array of one, so that no filter moves below and splits texts again per word.
+    rows = packed(docs, words=words_of(F.col(text))).select(ROW, F.explode(F.array("words")).alias("words"))
+    return _marked(rows, grams, max_grams), grams
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text: str = "text",
@@ -153,12 +161,13 @@ def report(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **options)
     marked, grams = mark(docs, benchmark, **options)
     # The row number is given before the rows are exploded, so that it tells documents apart.
     rows = marked.select(F.col(f"{ROW}.{id}").alias(id), F.monotonically_increasing_id().alias("at"),
-                         F.size("words").cast("long").alias("n_words"), covered_words(F.col("hits")).cast("long").alias("n_hit"),
-                         F.array_distinct(F.transform("hits", lambda h: h["gram"])).alias("grams"))
-    rows = rows.select(id, "at", "n_words", "n_hit", F.explode_outer("grams").alias("gram"))
+                         F.size("words").cast("long").alias("n_words"), "hits")
+    rows = rows.select(id, "at", "n_words", F.explode_outer("hits").alias("hit"))
     items = grams.groupBy("gram").agg(F.collect_set("item").alias("items"))
-    found = (rows.join(items, "gram", "left").select(id, "at", "n_words", "n_hit", F.explode_outer("items").alias("item"))
-             .groupBy("at", id, "n_words", "n_hit").agg(F.array_sort(F.collect_set("item")).alias("items")))
-    return found.select(id, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    joined = rows.join(items, F.col("hit.gram") == F.col("gram"), "left").select(
+        id, "at", "n_words", F.when(F.col("gram").isNotNull(), F.struct("hit.start", "hit.len")).alias("place"), "items")
+    found = joined.groupBy("at", id, "n_words").agg(
+        F.array_sort(F.collect_set("place")).alias("places"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return found.select(id, "n_words", covered_words(F.col("places")).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), "items")
+                        (F.size("places") > 0).alias("contaminated"), "items")
