@@ -146,3 +146,9 @@ def test_hash_points_follow_md5(spark):
     assert [r[0] for r in spark.range(50).select(hash_point("id", 42)).collect()] == want
     assert spark.range(1).select(hash_threshold(0.01)).first()[0] == 42949672
     assert spark.range(1).select(hash_threshold(7.0)).first()[0] == 4294967296
+
+
+def test_endings_of_any_length(spark):
+    assert evaluate(spark, ["running", "ran", "ring"], ends_with_any("v", ("ing", "n"))) == [True, True, True]
+    assert evaluate(spark, ["running"], ends_with_any("v", ("in",))) == [False]
+    assert evaluate(spark, ["running"], ends_with_any("v", ())) == [False]

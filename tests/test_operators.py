@@ -14,7 +14,7 @@ from tidemark.operators.joins import aggregate_with_top, engagement_ratio, ratio
 from tidemark.operators.labels import group_by_labels, label_lists, label_members
 from tidemark.operators.payloads import parse_json, quarantine
 from tidemark.operators.projections import flatten, originals, pack, renamed, require, where, with_derived
-from tidemark.operators.ranking import preview, sort_by, top_k, top_per_group
+from tidemark.operators.ranking import numbered, preview, sort_by, top_k, top_per_group
 from tidemark.operators.reuse import reuse
 from tidemark.operators.sampling import sample_stratified, sample_uniform, strata_fractions
 from tidemark.operators.sets import intersect, subtract, union_distinct
@@ -109,7 +109,8 @@ def test_place_counts_agree_in_three_forms(spark, posts):
 
 def test_hourly_profile_divides_by_days_that_have_the_hour(posts):
     assert rows(hourly_profile(posts, "created_at")) == [(10, 5 / 3), (11, 2.0)]
-    assert rows(hourly_profile(posts, "created_at", zero_fill=True)) == [(10, 5 / 3), (11, 2 / 3)]
+    assert rows(hourly_profile(posts, "created_at", zero_fill=True)) == sorted(
+        [(h, {10: 5 / 3, 11: 2 / 3}.get(h, 0.0)) for h in range(24)], key=repr)
     assert rows(expand_estimate(hourly_profile(posts, "created_at"), "posts", 0.5))[1] == (11, 4.0)
 
 
@@ -285,3 +286,26 @@ def test_malformed_payloads_are_not_taken_for_nulls(spark):
     assert rows(good.select("value")) == sorted([(values[0],), (values[1],), (values[5],)], key=repr)
     assert bad.count() == 3
     assert rows(originals(good, "payload.reblog").select("payload.a")) == [(1,), (None,)]
+
+
+def test_label_lists_are_bounded_by_members_too(spark):
+    df = spark.range(20_000).select(F.lit(7).alias("n"), F.col("id").alias("c"))
+    lists = label_lists(df, {"all": F.lit(True)}, "n", "c", most=1000).collect()
+    assert max(len(r["members"]) for r in lists) < 1300
+    assert sorted(m["c"] for r in lists for m in r["members"]) == list(range(20_000))
+
+
+def test_stratified_sample_says_what_it_needs(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, id long")
+    with pytest.raises(ValueError, match="needs a key"):
+        sample_stratified(df, "k", {"a": 1.0})
+    with pytest.raises(ValueError, match="as a mapping"):
+        sample_stratified(df, "k", df.select("k", F.lit(1.0).alias("fraction")), mode="native")
+    assert rows(sample_stratified(df, "k", {"a": 1.0}, "id")) == [("a", 1)]
+
+
+def test_numbered_gives_every_row_its_place(spark):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v")).repartition(7)
+    found = numbered(df, F.col("v").desc())
+    assert rows(found.select("place", "v")) == sorted([(i + 1, 999 - i) for i in range(1000)], key=repr)
+    assert numbered(df.limit(0), "v").count() == 0

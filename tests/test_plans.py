@@ -5,6 +5,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.sampling import sample_stratified
@@ -27,16 +28,40 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def gathered(df):
+    """What is sent to one task without having been reduced before: the nodes below such exchanges.
+
+    Allowed are partial aggregates, limits, and counts per task (``_task``).
+    """
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    lines = [re.sub(r"^[\s:+\-*()\d]*", "", line) for line in lines]
+    below = [lines[i + 1] for i, line in enumerate(lines) if line.startswith("Exchange SinglePartition")]
+    return [b for b in below if not re.match(r"\w*Aggregate\(keys=\[.*\], functions=\[(partial_|merge_)|LocalLimit|"
+                                             r".*output=\[_task|Project \[_task|TakeOrdered", b)]
+
+
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_join_and_nothing_gathered(no_broadcast, sf_dir, name):
-    text = plans.plan_text(all_entries()[name].run(no_broadcast, sf_dir))
+    found = all_entries()[name].run(no_broadcast, sf_dir)
+    text = plans.plan_text(found)
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
-    # One task may see everything only after a partial aggregate or a top-k has reduced it.
-    tree = text.split("\n\n")[0]
-    if "SinglePartition" in text:
-        assert re.search(r"HashAggregate|SortAggregate", tree)
-    if re.search(r"\bWindow \(", tree) and not re.search("partition|TakeOrdered|GlobalLimit", text):
-        pytest.fail("window over an unpartitioned table")
+    assert gathered(found) == []
+
+
+def test_a_bad_plan_is_found(no_broadcast, sf_dir):
+    orders = read(no_broadcast, sf_dir, "orders")
+    everything = Window.orderBy("o_orderkey")
+    assert gathered(orders.withColumn("n", F.row_number().over(everything)))
+    by_customer = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    assert gathered(by_customer.withColumn("place", F.row_number().over(Window.orderBy("n"))))
+
+
+@pytest.mark.parametrize("name", ["type_summary", "language_dashboard_stored"])
+def test_raw_rows_are_not_sorted_before_they_are_reduced(no_broadcast, sf_dir, name):
+    """Below the first exchange there are hash aggregates only."""
+    tree = plans.plan_text(all_entries()[name].run(no_broadcast, sf_dir)).split("\n\n")[0]
+    below = tree[tree.rindex("Exchange ("):]
+    assert "HashAggregate" in below and "Sort" not in below
 
 
 def test_filter_and_columns_reach_the_scan(spark, sf_dir):

@@ -16,7 +16,7 @@ from tidemark.scratch import scratch_root
 from tidemark.sources.catalog import catalog_tables, register, scan_table, unregister
 from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
 from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
-                                        table_report, validate_dataset)
+                                        read_published, table_report, validate_dataset)
 from tidemark.sources.records import (backlog_options, decode_values, read_backlog, stream_options,
                                       stream_records, to_records, write_records)
 from tidemark.streaming.output import append_result
@@ -74,9 +74,23 @@ def test_manifest_and_digests(spark, folder):
     assert {r["rows"] for r in manifest.values()} == {3}
     assert len({r["checksum"] for r in manifest.values()}) == 1
     assert manifest["one.csv"]["file_size"] == os.path.getsize(os.path.join(folder, "one.csv"))
-    digests = {os.path.basename(r["path"]): r["md5"] for r in file_digests(spark, folder).collect()}
-    assert digests["one.csv"] == digests["same.csv"] != digests["turned.csv"]
-    assert file_digests(spark, folder, max_bytes=10).count() == 0
+    put(folder, "paired.csv", [HEADER, *ROWS, ROWS[0], ROWS[0]])
+    put(folder, "other.csv", [HEADER, *ROWS, ROWS[1], ROWS[1]])
+    digests = {os.path.basename(r["path"]): (r["rows"], r["checksum"]) for r in file_digests(spark, folder).collect()}
+    assert len(digests) == 5
+    assert digests["one.csv"] == digests["same.csv"]
+    assert digests["paired.csv"] != digests["other.csv"]
+
+
+def test_a_refused_publish_leaves_the_good_copy(spark, folder):
+    good = spark.range(5).toDF("id")
+    publish_validated(good, table_report(good), folder)
+    with pytest.raises(ValidationError, match="copy differs"):
+        publish_validated(spark.range(3).toDF("id"), table_report(good), folder)
+    assert sorted(r["id"] for r in read_published(spark, folder).collect()) == [0, 1, 2, 3, 4]
+    newer = spark.range(7).toDF("id")
+    publish_validated(newer, table_report(newer), folder)
+    assert read_published(spark, folder).count() == 7
 
 
 def test_publishing_is_gated_and_verified(spark, folder):

@@ -2,6 +2,7 @@ import json
 import os
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark.sources.records import stream_records, to_records, write_records
 from tidemark.streaming.output import (AVAILABLE_NOW, BatchTable, append_to, complete_result, drain,
                                        for_each_batch, show_stream, updated_result, write_stream)
 from tidemark.streaming.replay import land, stream_events, stream_table
+from tidemark.streaming.state import stateful_update
 from tidemark.streaming.windows import (in_panes, largest_first, newest_first, running_count,
                                         seconds_of, sliding_count, top_in_window, tumbling_count)
 
@@ -303,3 +305,52 @@ def test_window_counts_add_up(spark, sf_dir):
     counts = complete_result(sliding_count(events, "ts", "1 hour", "5 minutes", ["event_type"]))
     n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     assert counts.agg(F.sum("n")).first()[0] == n * 12
+
+
+def test_a_late_row_counts_in_open_windows_unless_panes_are_asked_for(spark, folder):
+    """Delay 10 minutes, windows of an hour by 5 minutes, one row 20 minutes late."""
+    found = {}
+    for panes in (None, True):
+        feed = Feed(spark, folder, "ts TIMESTAMP_NTZ, lang STRING", f"panes-{panes}")
+
+        def build(s, panes=panes):
+            return sliding_count(s, "ts", "1 hour", "5 minutes", ["lang"], delay="10 minutes", panes=panes)
+
+        feed.push((at(0), "en"), (at(3600), "en")).append(build)
+        feed.push((at(2400), "fr"), (at(3700), "en")).append(build)
+        found[panes] = feed.push((at(20000), "en")).append(build).where("lang = 'fr'").count()
+    # The row at 40 minutes is in 12 windows; those ending at 45 and 50 minutes had closed.
+    assert found == {None: 10, True: 0}
+    with pytest.raises(ValueError):
+        sliding_count(feed.stream(), "ts", "1 hour", "5 minutes", panes=True)
+
+
+def test_state_is_kept_across_batches_and_expires(spark, folder):
+    feed = Feed(spark, folder, "ts TIMESTAMP_NTZ, lang STRING, v LONG")
+
+    def update(key, frame, state):
+        last = state[0] if state is not None else None
+        rises = int((frame["v"].diff().fillna(frame["v"].iloc[0] - last if last is not None else 0) > 0).sum())
+        return (int(frame["v"].iloc[-1]),), pd.DataFrame({"lang": [key[0]], "rises": [rises]})
+
+    def run():
+        table = BatchTable(spark, feed.out)
+        changes = stateful_update(feed.stream(), ["lang"], ["ts"], update, "last LONG", "lang STRING, rises LONG")
+        drain(for_each_batch(changes, table, "update", feed.checkpoint))
+        return rows(table.snapshot())
+
+    feed.push((at(0), "en", 5), (at(9), "en", 3), (at(1), "en", 7), (at(0), "fr", 1))
+    assert run() == [("en", 1), ("fr", 0)]
+    feed.push((at(20), "en", 4))
+    assert run() == [("en", 1)]
+
+
+def test_compaction_keeps_the_newest_row_per_key(spark, folder, feed):
+    table = BatchTable(spark, f"{folder}/totals")
+    for n, langs in enumerate((["en", "fr"], ["en"], ["de", "en"])):
+        feed.push(*[(at(n), lang) for lang in langs])
+        drain(for_each_batch(running_count(feed.stream(), "lang"), table, "update", feed.checkpoint))
+        if n == 1:
+            table.compact("lang")
+            assert rows(table.all_batches().select("lang", "n")) == [("en", 2), ("fr", 1)]
+    assert rows(table.latest_by("lang").select("lang", "n")) == [("de", 1), ("en", 3), ("fr", 1)]

@@ -26,6 +26,14 @@ def hash_threshold(fraction: str | float | Column) -> Column:
     return F.floor(capped * F.lit(float(HASH_RANGE))).cast("bigint")
 
 
+def hash_sum(hashed: Column) -> Column:
+    """Sum of row hashes as a whole number wide enough never to wrap; 0 without rows.
+
+    Unlike an exclusive or, rows that occur in pairs do not cancel out.
+    """
+    return F.coalesce(F.sum(hashed.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+
+
 def row_checksum(columns: Sequence[str]) -> Column:
     """Order-free checksum of a table; always read together with a row count."""
-    return F.bit_xor(F.xxhash64(*columns))
+    return hash_sum(F.xxhash64(*columns))

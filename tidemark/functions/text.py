@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -31,7 +32,8 @@ def split_words(c: str | Column) -> Column:
 
 
 def ends_with_any(c: str | Column, endings: Iterable[str] = VOWELS) -> Column:
-    return F.right(as_column(c), F.lit(1)).isin(*endings)
+    """Whether the text ends with one of the endings, of any length; none for no endings."""
+    return reduce(Column.__or__, [F.endswith(as_column(c), F.lit(e)) for e in endings], F.lit(False))
 
 
 def char_length(c: str | Column) -> Column:

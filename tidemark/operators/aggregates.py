@@ -48,10 +48,16 @@ def user_profile(posts: DataFrame, user: str, counters: Mapping[str, str],
 
 
 def received_counts(posts: DataFrame, author_of_original: str, user_as: str = "user",
-                    name: str = "received") -> DataFrame:
-    """Reshares received per author, whatever the author's language."""
-    return count_by(require(posts, author_of_original),
-                    [F.col(author_of_original).alias(user_as)], name)
+                    name: str = "received", times: str | None = None) -> DataFrame:
+    """Reshares received per author, whatever the author's language.
+
+    ``times`` names a column that says how many reshares a row stands for, if rows were
+    counted before.
+    """
+    author = F.col(author_of_original).alias(user_as)
+    if times is None:
+        return count_by(require(posts, author_of_original), [author], name)
+    return require(posts, author_of_original).groupBy(author).agg(F.sum(times).alias(name))
 
 
 def counts_by_place(posts: DataFrame, place: str = "place.name", place_as: str = "name",
@@ -86,7 +92,7 @@ def hourly_profile(posts: DataFrame, ts: str, name: str = "posts",
     """Average number of posts per hour of the day.
 
     An hour is averaged over the days that have it; with ``zero_fill`` over all
-    days seen, so that missing hours count as zero.
+    days seen, so that missing hours count as zero, and all 24 hours are there.
     """
     counts = hourly_counts(posts, ts, name)
     if not zero_fill:
@@ -95,7 +101,7 @@ def hourly_profile(posts: DataFrame, ts: str, name: str = "posts",
     totals = [F.coalesce(F.sum(F.when(F.col("hour") == h, F.col(name))), F.lit(0)) for h in range(24)]
     whole = counts.agg(F.countDistinct("day").alias("days"), F.array(*totals).alias("totals"))
     return (whole.select("days", F.posexplode("totals").alias("hour", name))
-            .where(F.col(name) > 0).select("hour", (F.col(name) / F.col("days")).alias(name)))
+            .where(F.col("days") > 0).select("hour", (F.col(name) / F.col("days")).alias(name)))
 
 
 def expand_estimate(df: DataFrame, column: str, fraction: float) -> DataFrame:

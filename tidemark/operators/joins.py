@@ -7,7 +7,7 @@ corrects that at run time and splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
@@ -16,13 +16,14 @@ from tidemark.operators.aggregates import received_counts
 
 def engagement_ratio(users: DataFrame, posts: DataFrame, author_of_original: str,
                      user: str = "user", posts_made: str = "posts",
-                     received_as: str = "received", ratio_as: str = "ratio") -> DataFrame:
+                     received_as: str = "received", ratio_as: str = "ratio",
+                     times: str | None = None) -> DataFrame:
     """Reshares received per post made, for users who received any.
 
     Reshares are counted per author first, so both sides of the join hold one
     row per user and no raw post row is joined.
     """
-    received = received_counts(posts, author_of_original, user, received_as)
+    received = received_counts(posts, author_of_original, user, received_as, times)
     return (users.join(received, user, "inner")
             .withColumn(ratio_as, ratio(received_as, posts_made)))
 
@@ -48,13 +49,26 @@ def aggregate_with_top(df: DataFrame, key: str | Column, size: str, user: str, w
                        decimals: int = 2) -> DataFrame:
     """Per key: row count, mean size, and the user of greatest weight (then first by name).
 
-    One pass.  The best user is the least (-weight, user) pair, unknown weights
-    last, so no ranking and no join back is needed.
+    Rows are first reduced to one per key and user, with plain numbers that a hash
+    aggregate holds; the best user, the least (-weight, user) pair with unknown weights
+    last, is then taken from those few.  No ranking and no join back is needed.
     """
     key_column = F.col(key) if isinstance(key, str) else key
-    best = least_pair(user, weight).alias("_best")
-    return (df.groupBy(key_column)
-            .agg(F.count(F.lit(1)).alias(count_as),
-                 F.round(F.avg(size), decimals).alias(mean_as), best)
-            .select("*", F.col("_best.u").alias(user), (-F.col("_best.w")).alias(weight))
-            .drop("_best"))
+    per_user = per_user_totals(df.groupBy(key_column.alias("_key") if isinstance(key, str) else key_column, F.col(user).alias("_user")),
+                               size, weight)
+    name = "_key" if isinstance(key, str) else per_user.columns[0]
+    best = per_user.groupBy(name).agg(*combined_totals(count_as, mean_as, decimals))
+    return best.select(F.col(f"`{name}`").alias(key if isinstance(key, str) else name), count_as, mean_as,
+                       F.col("_best.u").alias(user), (-F.col("_best.w")).alias(weight))
+
+
+def per_user_totals(grouped: GroupedData, size: str, weight: str) -> DataFrame:
+    """Rows, sizes and greatest weight per group; the user is one of the grouping columns, ``_user``."""
+    return grouped.agg(F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_sizes"), F.count(size).alias("_sized"),
+                       F.max(weight).alias("_weight"))
+
+
+def combined_totals(count_as: str, mean_as: str, decimals: int = 2) -> list[Column]:
+    """Aggregates over per-user totals: row count, mean size, and ``_best`` with the best user."""
+    mean = F.sum("_sizes").cast("double") / F.nullif(F.sum("_sized"), F.lit(0))
+    return [F.sum("_rows").alias(count_as), F.round(mean, decimals).alias(mean_as), least_pair("_user", "_weight").alias("_best")]

@@ -22,16 +22,20 @@ def group_by_labels(df: DataFrame, labels: Mapping[str, Column], value: str,
 
 
 def label_lists(df: DataFrame, labels: Mapping[str, Column], value: str, *carried: str,
-                name: str = "label", span: int = 1000) -> DataFrame:
+                name: str = "label", span: int = 1000, most: int = 1000) -> DataFrame:
     """The elements of each label as sorted lists of (value, carried…, copies).
 
-    ``value`` is a whole number.  Equal elements are counted before they are
-    gathered, and a list covers ``span`` consecutive values, so no list outgrows
-    the span however often a value occurs; a group wider than that is several
-    rows, ordered by ``part``, where the span starts.
+    ``value`` is a whole number.  Equal elements are counted before they are gathered.  A
+    list covers ``span`` consecutive values from ``part`` on; where those have more than
+    ``most`` different elements they are dealt by hash into pieces of about that many,
+    numbered by ``piece``.  So no list outgrows the bounds, whatever the data.
     """
     counted = (label_members(df, labels, name).groupBy(name, value, *carried)
-               .agg(F.count(F.lit(1)).alias("copies")))
-    part = (F.col(value) - F.pmod(F.col(value), F.lit(span))).cast("bigint")
-    return (counted.groupBy(name, part.alias("part"))
+               .agg(F.count(F.lit(1)).alias("copies"))
+               .withColumn("part", (F.col(value) - F.pmod(F.col(value), F.lit(span))).cast("bigint")))
+    sizes = counted.groupBy(name, "part").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("pieces"))
+    piece = F.pmod(F.xxhash64(value, *carried), F.col("pieces")).cast("int")
+    return (counted.join(sizes.select(F.col(name).alias("_name"), F.col("part").alias("_part"), "pieces"),
+                         F.col(name).eqNullSafe(F.col("_name")) & F.col("part").eqNullSafe(F.col("_part")))
+            .groupBy(name, "part", piece.alias("piece"))
             .agg(F.sort_array(F.collect_list(F.struct(value, *carried, "copies"))).alias("members")))

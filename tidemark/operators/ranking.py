@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.scratch import stage
+
 
 def descending(*keys: str) -> list[Column]:
     return [F.col(k).desc() for k in keys]
@@ -17,6 +19,21 @@ def sort_by(df: DataFrame, *order: str | Column) -> DataFrame:
     return df.orderBy(*order)
 
 
+def numbered(df: DataFrame, *order: str | Column, name: str = "place") -> DataFrame:
+    """All rows with their place in a total order, from 1 (runs a job).
+
+    The range-sorted rows are written out with their number inside the task; places are
+    then that number plus the rows of the tasks before, so no task sees all rows.
+    """
+    rows = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    task = F.shiftright("_at", 33)
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n")).select("_task", before.alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1
+    return (rows.withColumn("_task", task).join(tasks, "_task").withColumn(name, place.cast("int"))
+            .drop("_at", "_task", "_before"))
+
+
 def top_k(df: DataFrame, k: int, *order: str | Column, rank_as: str | None = None) -> DataFrame:
     """First ``k`` rows of an order; each task keeps only its own best ``k``.
 

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.hashing import hash_point, hash_threshold
 from tidemark.functions.numbers import floor_to
@@ -49,15 +50,24 @@ def sample_stratified(df: DataFrame, stratum: str, fractions: DataFrame | Mappin
                       fraction: str = "fraction", mode: str = "hash") -> DataFrame:
     """Sample each stratum at its own fraction; strata without one are dropped.
 
-    ``fractions`` holds one row per stratum.  Pass a staged table
+    ``fractions`` is a table with one row per stratum, or a mapping; ``native`` takes a
+    mapping only.  The hash mode needs ``key``.  Pass a staged table
     (``tidemark.scratch.stage``): its size is then known, and below the broadcast
     threshold the big table is not shuffled at all.  A larger one is joined by
     shuffle, with skewed strata split at run time.
     """
     if mode == "native":
+        if isinstance(fractions, DataFrame):
+            raise ValueError("the native mode takes fractions as a mapping; collect a small table yourself")
         return df.sampleBy(stratum, fractions=dict(fractions), seed=seed)
     if mode != "hash":
         raise ValueError(f"unknown sampling mode {mode!r}")
+    if key is None:
+        raise ValueError("the hash mode needs a key that tells rows apart")
+    if not isinstance(fractions, DataFrame):
+        schema = T.StructType([T.StructField(stratum, df.select(stratum).schema[0].dataType),
+                               T.StructField(fraction, T.DoubleType())])
+        fractions = df.sparkSession.createDataFrame([(s, float(f)) for s, f in fractions.items()], schema)
     limits = fractions.select(F.col(stratum), hash_threshold(fraction).alias("_limit"))
     return (df.join(limits, stratum, "inner")
             .where(hash_point(key, seed) < F.col("_limit"))

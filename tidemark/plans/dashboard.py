@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import plain_time
-from tidemark.operators.joins import least_pair
+from tidemark.operators.joins import combined_totals, least_pair, per_user_totals
 from tidemark.operators.ranking import top_k
 from tidemark.streaming.windows import paned, top_in_window, windows_of, with_watermark
 
@@ -14,15 +14,22 @@ from tidemark.streaming.windows import paned, top_in_window, windows_of, with_wa
 def dashboard(posts: DataFrame, ts: str, size: str, slide: str, key: str = "language",
               length: str = "size", user: str = "user", weight: str = "followers",
               delay: str | None = None, count_as: str = "n",
-              mean_as: str = "avg_size") -> DataFrame:
+              mean_as: str = "avg_size", panes: bool | None = None) -> DataFrame:
     """One row per window and key, from a stream or a table.
 
-    Users of equal weight are taken in order of name.  No ranking is involved,
-    so the same plan runs on streams; the best user is a mergeable minimum, so a
-    busy key is reduced before it is shuffled.
+    Users of equal weight are taken in order of name.  No ranking is involved; the best
+    user is a mergeable minimum, so a busy key is reduced before it is shuffled.  A table
+    is first reduced per user (and slide, where windows consist of slides) by hash
+    aggregates; a stream has one aggregation, or with ``panes=True`` two (see ``paned``).
     """
     rows = with_watermark(posts, ts, delay)
-    if paned(posts, size, slide, delay):
+    by_pane = paned(posts, size, slide, delay, panes)
+    if not posts.isStreaming:
+        first = F.window(ts, slide) if by_pane else F.window(ts, size, slide)
+        per_user = per_user_totals(rows.groupBy(first.alias("pane"), key, F.col(user).alias("_user")), length, weight)
+        window = windows_of("pane", size, slide) if by_pane else F.col("pane")
+        counted = per_user.groupBy(window.alias("window"), key).agg(*combined_totals(count_as, mean_as)).withColumnRenamed("_best", "best")
+    elif by_pane:
         panes = rows.groupBy(F.window(ts, slide).alias("pane"), key).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(length).alias("chars"),
             F.count(length).alias("sized"), least_pair(user, weight).alias("best"))

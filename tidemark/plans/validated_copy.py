@@ -11,10 +11,11 @@ from tidemark.sources.integrity import publish_validated, validate_dataset
 
 def publish_csv(spark: SparkSession, source: str, schema: T.StructType | str, target: str,
                 sep: str = ",") -> DataFrame:
-    """Validate ``source``, write the report to ``target/report``, and the data to ``target/data``.
+    """Validate ``source``, write the report to ``target/report``, and publish the data below ``target/data``.
 
-    The report is written first and whatever it says; the data only if it is
-    healthy, else ``ValidationError`` is raised.
+    The report is written first and whatever it says; the data is published only if it
+    is healthy and its copy agrees, else ``ValidationError`` is raised and what was
+    published before stays.
     """
     declared = as_struct(schema)
     report_path = f"{target}/report"

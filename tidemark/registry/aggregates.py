@@ -35,7 +35,7 @@ def user_profiles(spark, sf_dir):
 @book.query("AGG-4", """SELECT o_custkey AS user_id, count(*) AS received
                         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""")
 def reshares_received(spark, sf_dir):
-    return received_counts(reshared_lines(spark, sf_dir), "reshared.user.id", "user_id")
+    return received_counts(reshared_lines(spark, sf_dir), "reshared.user.id", "user_id", times="times")
 
 
 @book.query("AGG-5", "SELECT count(*) AS n FROM lineitem")
@@ -83,8 +83,9 @@ def hourly_average(spark, sf_dir):
 
 
 @book.query("AGG-8", HOURLY.format(source="(SELECT ts FROM events WHERE event_type = 'purchase')")
-            + """SELECT hour, sum(posts) / CAST((SELECT count(DISTINCT day) FROM counts) AS DOUBLE) AS posts
-                 FROM counts GROUP BY hour""")
+            + """SELECT CAST(h AS INTEGER) AS hour, coalesce(sum(posts), 0)::BIGINT
+                        / CAST((SELECT count(DISTINCT day) FROM counts) AS DOUBLE) AS posts
+                 FROM range(24) hours(h) LEFT JOIN counts ON hour = h GROUP BY h""")
 def hourly_average_all_days(spark, sf_dir):
     """Purchases are sparse enough for hours to be missing on some days."""
     purchases = read(spark, sf_dir, "events").where("event_type = 'purchase'")
@@ -102,6 +103,16 @@ def hourly_average_estimated(spark, sf_dir):
     return estimated_hourly_profile(read(spark, sf_dir, "events"), "ts", "event_id")
 
 
+@book.query("AGG-8", HOURLY.format(source="(SELECT ts FROM events WHERE hour(ts) BETWEEN 6 AND 20)")
+            + """SELECT CAST(h AS INTEGER) AS hour, coalesce(sum(posts), 0)::BIGINT
+                        / CAST((SELECT count(DISTINCT day) FROM counts) AS DOUBLE) AS posts
+                 FROM range(24) hours(h) LEFT JOIN counts ON hour = h GROUP BY h""")
+def hourly_average_with_empty_hours(spark, sf_dir):
+    """Nights are empty on all days and still have their rows."""
+    daytime = read(spark, sf_dir, "events").where(F.hour("ts").between(6, 20))
+    return hourly_profile(daytime, "ts", zero_fill=True)
+
+
 LABELLED = """
 WITH cubes AS (SELECT p_size, p_size::BIGINT * p_size * p_size AS size_cubed FROM part),
      chosen AS (SELECT * FROM cubes WHERE size_cubed % 7 = 0 AND size_cubed > 50),
@@ -127,13 +138,29 @@ def label_totals(spark, sf_dir):
 
 @book.query("AGG-10", LABELLED + """
 , counted AS (SELECT label, p_size, size_cubed, count(*) AS copies FROM labelled GROUP BY ALL)
-SELECT label, string_agg(p_size || ',' || size_cubed || ',' || copies, ';' ORDER BY p_size) AS members
-FROM counted GROUP BY label""")
+SELECT label, p_size::BIGINT - p_size % 1000 AS part, 0 AS piece,
+       string_agg(p_size || ',' || size_cubed || ',' || copies, ';' ORDER BY p_size) AS members
+FROM counted GROUP BY 1, 2""")
 def label_groups(spark, sf_dir):
     rows, labels = _cubes(spark, sf_dir)
     lists = label_lists(rows, labels, "p_size", "size_cubed")
     written = F.transform("members", lambda m: F.concat_ws(",", m.p_size, m.size_cubed, m.copies))
-    return lists.select("label", F.concat_ws(";", written).alias("members"))
+    return lists.select("label", "part", "piece", F.concat_ws(";", written).alias("members"))
+
+
+@book.query("AGG-10", """
+WITH labelled AS (SELECT 'finished' AS label, * FROM orders WHERE o_orderstatus = 'F'
+                  UNION ALL SELECT 'dear', * FROM orders WHERE o_totalprice > 100000)
+SELECT label, o_orderkey - o_orderkey % 1000 AS part, 0 AS piece,
+       string_agg(o_orderkey || ',' || o_custkey || ',1', ';' ORDER BY o_orderkey) AS members
+FROM labelled GROUP BY 1, 2""")
+def label_groups_of_wide_range(spark, sf_dir):
+    """Keys spread far beyond one span: a list per label and span."""
+    orders = read(spark, sf_dir, "orders")
+    labels = {"finished": F.col("o_orderstatus") == "F", "dear": F.col("o_totalprice") > 100000}
+    lists = label_lists(orders, labels, "o_orderkey", "o_custkey")
+    written = F.transform("members", lambda m: F.concat_ws(",", m.o_orderkey, m.o_custkey, m.copies))
+    return lists.select("label", "part", "piece", F.concat_ws(";", written).alias("members"))
 
 
 WORDS = r"""

@@ -27,11 +27,12 @@ def user_posts(spark, sf_dir):
 
 
 def reshared_lines(spark, sf_dir):
-    """Order lines as reshares of a post by the customer who ordered."""
+    """Order lines as reshares of a post by the customer who ordered, one row per post with ``times``."""
     lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
-        F.struct(F.struct(F.col("o_custkey").alias("id")).alias("user")).alias("reshared"))
+        F.struct(F.struct(F.col("o_custkey").alias("id")).alias("user")).alias("reshared"), "times")
 
 
 @book.query("JOIN-1 AGG-2 AGG-3 SRT-1 PRJ-2 PRJ-4", """
@@ -50,7 +51,7 @@ def engagement_ratio(spark, sf_dir):
     return engagement(
         user_posts(spark, sf_dir), reshared_lines(spark, sf_dir), "user.id", "reshared.user.id",
         {"max_price": "user.price", "balance": "user.balance"},
-        F.col("user.lang") == "BUILDING", "user_id")
+        F.col("user.lang") == "BUILDING", "user_id", "times")
 
 
 def places(spark, sf_dir):

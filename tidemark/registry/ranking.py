@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import counts_by_place
-from tidemark.operators.ranking import preview, sort_by, top_k, top_per_group
+from tidemark.operators.ranking import numbered, preview, sort_by, top_k, top_per_group
 from tidemark.registry import QueryBook, read
 from tidemark.registry.joins import places
 
@@ -31,11 +31,13 @@ def top_orders_per_customer(spark, sf_dir):
     return top_per_group(orders, "o_custkey", [F.col("o_totalprice").desc(), "o_orderkey"], 3)
 
 
-@book.query("SRT-1", """SELECT l_suppkey, count(*) AS lines FROM lineitem GROUP BY l_suppkey
-                        ORDER BY lines DESC, l_suppkey""")
+@book.query("SRT-1", """SELECT l_suppkey, count(*) AS lines,
+                               CAST(row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS INTEGER) AS place
+                        FROM lineitem GROUP BY l_suppkey ORDER BY lines DESC, l_suppkey""")
 def sorted_suppliers(spark, sf_dir):
+    """With its place in every row, so that the order is compared and not just the rows."""
     counts = read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("lines"))
-    return sort_by(counts, F.col("lines").desc(), "l_suppkey")
+    return sort_by(numbered(counts, F.col("lines").desc(), "l_suppkey"), "place")
 
 
 @book.query("SRT-2", """

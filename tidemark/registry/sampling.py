@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.sampling import sample_uniform, strata_fractions
+from tidemark.operators.sampling import sample_stratified, sample_uniform, strata_fractions
 from tidemark.plans.strata import levelled_sample
 from tidemark.registry import QueryBook, read
 from tidemark.registry.aggregates import HASHED
@@ -38,3 +38,12 @@ def stratified_sample(spark, sf_dir):
     sample = levelled_sample(places(spark, sf_dir), seats(spark, sf_dir), "place.name", "capital",
                              "seats", "id")
     return sample.select("id", F.col("place.name").alias("name"))
+
+
+@book.query("SMP-3", f"""SELECT event_id, event_type FROM events
+WHERE {HASHED.format(key="CAST(event_id AS VARCHAR)")}
+      < CASE event_type WHEN 'click' THEN 429496729 WHEN 'purchase' THEN 2147483648 END""")
+def stratified_sample_by_mapping(spark, sf_dir):
+    """Fractions as a mapping; types it does not name are left out."""
+    events = read(spark, sf_dir, "events").select("event_id", "event_type")
+    return sample_stratified(events, "event_type", {"click": 0.1, "purchase": 0.5}, "event_id")

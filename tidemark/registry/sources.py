@@ -15,8 +15,8 @@ from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 from tidemark.sources.catalog import catalog_tables, register, scan_table, unregister
 from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
-from tidemark.sources.integrity import (file_digests, file_manifest, publish_validated, sample_rows,
-                                        table_report, validate_dataset)
+from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
+                                        read_published, sample_rows, table_report, validate_dataset)
 from tidemark.sources.records import (decode_values, read_backlog, stream_records, to_records,
                                       write_records)
 from tidemark.streaming.output import append_result
@@ -117,6 +117,20 @@ def payload_schema(spark, sf_dir):
     return flatten(parse_json(events, "props", schema), {"event_id": "event_id", "k": "payload.k"})
 
 
+@book.query("SRC-5", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+                               CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN 'late' END AS extra
+                        FROM events""")
+def schema_of_all_payloads(spark, sf_dir):
+    """A field that only the last payload has is found."""
+    events = read(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).scalar()
+    longer = F.concat(F.substr("props", F.lit(1), F.length("props") - 1), F.lit(', "extra": "late"}'))
+    events = events.withColumn("props", F.when(F.col("event_id") == last, longer).otherwise(F.col("props")))
+    schema = infer_schema(events, "props")
+    return flatten(parse_json(events, "props", schema),
+                   {"event_id": "event_id", "k": "payload.k", "extra": "payload.extra"})
+
+
 def _landed_events(spark, sf_dir):
     path = scratch_path(spark, "event-records")
     write_records(to_records(read(spark, sf_dir, "events"), "event_id", "props", "ts"),
@@ -183,7 +197,7 @@ def dataset_sample(spark, sf_dir):
 def dataset_digests(spark, sf_dir):
     """Two copies of one data set have the same digests."""
     first, second = (file_digests(spark, _orders_csv(spark, sf_dir)) for _ in range(2))
-    unmatched = first.join(second, ["length", "md5"], "left_anti").agg(F.count(F.lit(1))).scalar()
+    unmatched = first.join(second, ["length", "rows", "checksum"], "left_anti").agg(F.count(F.lit(1))).scalar()
     return first.agg((F.count(F.lit(1)) > 0).alias("digested")).withColumn("unmatched", unmatched)
 
 
@@ -198,3 +212,26 @@ def published_csv(spark, sf_dir):
 def published_table(spark, sf_dir):
     rows = read(spark, sf_dir, "supplier")
     return publish_validated(rows, table_report(rows), scratch_path(spark, "published"))
+
+
+@book.query("SRC-14", "SELECT * FROM supplier")
+def refused_publish(spark, sf_dir):
+    """A copy that does not agree with its report is refused, and the good one stays published."""
+    path = scratch_path(spark, "published")
+    rows = read(spark, sf_dir, "supplier")
+    publish_validated(rows, table_report(rows), path)
+    try:
+        publish_validated(rows.where("s_suppkey % 2 = 0"), table_report(rows), path)
+    except ValidationError:
+        return read_published(spark, path)
+    raise AssertionError("a bad copy was published")
+
+
+@book.query("SRC-13", "SELECT 3 * count(*) AS rows, true AS told_apart FROM orders")
+def paired_rows_told_apart(spark, sf_dir):
+    """Tables that differ only in rows that occur in pairs have different checksums."""
+    keys = read(spark, sf_dir, "orders").select("o_orderkey")
+    first, second = (keys.unionAll(keys.select(F.col("o_orderkey") + shift)).unionAll(
+        keys.select(F.col("o_orderkey") + shift)) for shift in (1, 2))
+    other = table_report(second).select(F.col("checksum").alias("other"))
+    return table_report(first).select("rows", (F.col("checksum") != other.scalar()).alias("told_apart"))

@@ -4,22 +4,25 @@ Append results hold the windows the final watermark has closed, so their SQL
 keeps windows that end no later than the latest event less the delay.
 """
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import event_time, plain_time
 from tidemark.operators.payloads import parse_json
 from tidemark.operators.projections import originals
+from tidemark.operators.ranking import numbered
 from tidemark.plans.dashboard import busiest, dashboard
-from tidemark.plans.domains import compare_domains
+from tidemark.plans.domains import DOMAIN_SCHEMA, compare_domains
 from tidemark.plans.posts import dashboard_posts, original_posts, timed_posts
 from tidemark.registry import QueryBook, read
-from tidemark.scratch import scratch_path
+from tidemark.scratch import scratch_path, stage
 from tidemark.sources.records import stream_records, to_records, write_records
 from tidemark.streaming.output import (BatchTable, append_result, append_to, complete_result, drain,
-                                       for_each_batch, updated_result)
+                                       for_each_batch, sort_out, updated_result)
 from tidemark.streaming.replay import land, stream_events, stream_table
-from tidemark.streaming.windows import (largest_first, newest_first, ranked_in_window, running_count,
-                                        sliding_count, top_in_window, tumbling_count)
+from tidemark.streaming.state import stateful_update
+from tidemark.streaming.windows import (ranked_in_window, running_count, sliding_count, top_in_window,
+                                        tumbling_count)
 
 book = QueryBook()
 
@@ -59,10 +62,40 @@ def busiest_types_per_hour(spark, sf_dir):
 BY_TYPE = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
 
 
-@book.query("STR-3 STR-10 SRT-4 UDF-2", BY_TYPE)
+@book.query("STR-3 STR-10 SRT-4", """
+SELECT event_type, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) AS INTEGER) AS place
+FROM events GROUP BY event_type""")
 def running_total(spark, sf_dir):
+    """The batch function numbers the totals in their order, so the order is a column."""
     counts = running_count(_events(spark, sf_dir), "event_type")
-    return complete_result(largest_first(counts, ["event_type"]))
+    return complete_result(counts, prepare=lambda batch: numbered(batch, F.col("n").desc(), F.col("event_type")))
+
+
+@book.query("UDF-2 STR-3 STR-12", """
+WITH ordered AS (SELECT user_id, event_type,
+                        lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before,
+                        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back
+                 FROM events)
+SELECT user_id, count(*) FILTER (before IS NOT NULL AND before <> event_type) AS changes,
+       any_value(event_type) FILTER (back = 1) AS last_type
+FROM ordered GROUP BY user_id""")
+def type_changes(spark, sf_dir):
+    """How often each user's event type changes: needs the last one seen, also across batches."""
+    def update(key, rows, state):
+        changes, last = state if state is not None else (0, None)
+        types = rows["event_type"]
+        before = types.shift(1, fill_value=last if last is not None else types.iloc[0])
+        changes, last = changes + int((types != before).sum()), types.iloc[-1]
+        return (changes, last), pd.DataFrame({"user_id": [key[0]], "changes": [changes], "last_type": [last]})
+
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    path = scratch_path(spark, "changes")
+    for part in _by_half(spark, sf_dir):
+        land(part, landing)
+        changes = stateful_update(stream_events(spark, landing), ["user_id"], ["ts", "event_id"], update,
+                                  "changes BIGINT, last_type STRING", "user_id BIGINT, changes BIGINT, last_type STRING")
+        newest = updated_result(changes, "user_id", checkpoint=checkpoint, path=path)
+    return newest
 
 
 @book.query("STR-3 STR-10", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
@@ -88,6 +121,56 @@ def sliding_counts(spark, sf_dir):
                                        ["event_type"], delay="10 minutes"))
 
 
+def _split_events(spark, sf_dir):
+    """Everything but early clicks, and then these with the rest: rows that come late."""
+    events = read(spark, sf_dir, "events")
+    second = (F.col("event_type") == "click") | (F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    return events.where(~second), events.where(second)
+
+
+def _by_half(spark, sf_dir):
+    """The events in two parts, the second later in time than all of the first."""
+    events = read(spark, sf_dir, "events")
+    first = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    return events.where(first), events.where(~first)
+
+
+@book.query("STR-4 STR-8", """
+WITH split AS (SELECT *, event_type = 'click' OR ts >= TIMESTAMP '2024-01-16' AS second FROM events),
+     shifts AS (SELECT unnest(range(12)) AS i),
+     mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS first_mark,
+                     (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS last_mark
+              FROM split WHERE NOT second),
+     rows AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS window_start,
+                     event_type, second FROM split, shifts)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n
+FROM rows, mark
+WHERE (NOT second OR window_start + INTERVAL 1 HOUR > first_mark)
+  AND window_start + INTERVAL 1 HOUR <= last_mark GROUP BY ALL""")
+def late_rows_in_open_windows(spark, sf_dir):
+    """Clicks far later than the delay: they count in the windows that are still open, and only there."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in _split_events(spark, sf_dir):
+        land(part, landing)
+        counts = sliding_count(stream_events(spark, landing), "ts", "1 hour", "5 minutes", ["event_type"], delay="10 minutes")
+        windows = append_to(counts, out, checkpoint)
+    return windows
+
+
+@book.query("STR-4 STR-8 STR-12", SLIDING_ROWS
+            + " WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE")
+def sliding_counts_in_batches(spark, sf_dir):
+    """Over two runs from one checkpoint: as no row is late, the result is that of one batch."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in _by_half(spark, sf_dir):
+        land(part, landing)
+        counts = sliding_count(stream_events(spark, landing), "ts", "1 hour", "5 minutes", ["event_type"], delay="10 minutes")
+        windows = append_to(counts, out, checkpoint)
+    return windows
+
+
 @book.query("STR-4", SLIDING_ROWS)
 def sliding_counts_stored(spark, sf_dir):
     """The same operator over the table itself."""
@@ -100,9 +183,9 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
        CAST(row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS INTEGER) AS rank
 FROM counts""")
 def sliding_counts_complete(spark, sf_dir):
+    """Ranked in the batch function, on the finished counts of each batch."""
     counts = sliding_count(_events(spark, sf_dir), "ts", "1 hour", "5 minutes", ["event_type"])
-    whole = complete_result(newest_first(counts, ["event_type"]))
-    return ranked_in_window(whole, ["event_type"])
+    return complete_result(counts, prepare=lambda batch: ranked_in_window(batch, ["event_type"]))
 
 
 DASHBOARD = """
@@ -214,23 +297,51 @@ WHERE (NOT second OR window_start + INTERVAL 1 HOUR > first_mark)
   AND window_start + INTERVAL 1 HOUR <= last_mark GROUP BY ALL""")
 def late_rows_left_out(spark, sf_dir):
     """Early clicks arrive after the first half of everything else: too late to count."""
-    events = read(spark, sf_dir, "events")
-    second = (F.col("event_type") == "click") | (F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "hours")
     checkpoint = scratch_path(spark, "checkpoint")
-    for part in (events.where(~second), events.where(second)):
+    for part in _split_events(spark, sf_dir):
         land(part, landing)
         counts = tumbling_count(stream_events(spark, landing), "ts", "1 hour", ["event_type"], delay="1 hour")
         hours = append_to(counts, out, checkpoint)
     return hours
 
 
-@book.query("JOIN-4 STR-9 STR-8 PRJ-10 PRJ-11 SRC-6", """
+DOMAIN_WINDOWS = """
 WITH windows AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
-                        CAST(user_id % 10 AS VARCHAR) AS domain, event_type, CAST(count(*) AS INTEGER) AS n
+                        CAST(user_id % 10 AS VARCHAR) AS domain, event_type, count(*) AS n
                  FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1, 2, 3),
-     l AS (SELECT * FROM windows WHERE event_type = 'click'),
-     r AS (SELECT * FROM windows WHERE event_type = 'purchase'),
+"""
+
+
+def _domain_records(spark, sf_dir):
+    """Hourly counts per tenth of the users as records of both kinds, one folder each.
+
+    Domain 3 counts in billions, and the records of domain 4 are cut short.
+    """
+    path = scratch_path(spark, "domain-records")
+    rows = read(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase"))
+    counts = rows.groupBy("event_type", F.window(event_time("ts"), "1 hour").alias("window"),
+                          (F.col("user_id") % 10).cast("string").alias("domain")).count()
+    counts = counts.withColumn("count", F.when(F.col("domain") == "3", F.col("count") * 3_000_000_000).otherwise(F.col("count")))
+    value = F.to_json(F.struct(
+        F.struct(F.col("window.start").cast("string").alias("start"),
+                 F.col("window.end").cast("string").alias("end")).alias("window"),
+        "domain", "count"))
+    value = F.when(F.col("domain") == "4", F.substr(value, F.lit(1), F.length(value) - 3)).otherwise(value)
+    counts = stage(counts.withColumn("value", value), "domain-counts")
+    folders = []
+    for kind in ("click", "purchase"):
+        one = counts.where(F.col("event_type") == kind)
+        write_records(to_records(one, "domain", "value", "window.end"), "files", f"{path}/{kind}", topic=kind)
+        folders.append(f"{path}/{kind}")
+    return folders
+
+
+@book.query("JOIN-4 STR-9 STR-8 PRJ-10 PRJ-11 SRC-6", DOMAIN_WINDOWS + """
+     readable AS (SELECT window_start, domain, event_type, CASE WHEN domain = '3' THEN n * 3000000000 ELSE n END AS n
+                  FROM windows WHERE domain <> '4'),
+     l AS (SELECT * FROM readable WHERE event_type = 'click'),
+     r AS (SELECT * FROM readable WHERE event_type = 'purchase'),
      mark AS (SELECT least((SELECT max(window_start) FROM l), (SELECT max(window_start) FROM r))
                      + INTERVAL 1 HOUR - INTERVAL 2 HOUR AS mark)
 SELECT l.window_start, l.window_start + INTERVAL 1 HOUR AS window_end, l.domain,
@@ -239,24 +350,50 @@ FROM l LEFT JOIN r USING (window_start, domain), mark
 WHERE r.n IS NOT NULL OR l.window_start + INTERVAL 1 HOUR <= mark""")
 def domain_comparison(spark, sf_dir):
     """Clicks are originals, purchases reshares; a domain is a tenth of the users."""
-    def counted(kind):
-        path = scratch_path(spark, f"{kind}-records")
-        rows = read(spark, sf_dir, "events").where(F.col("event_type") == kind)
-        counts = rows.groupBy(F.window(event_time("ts"), "1 hour").alias("window"),
-                              (F.col("user_id") % 10).cast("string").alias("domain")).count()
-        value = F.to_json(F.struct(
-            F.struct(F.col("window.start").cast("string").alias("start"),
-                     F.col("window.end").cast("string").alias("end")).alias("window"),
-            "domain", "count"))
-        write_records(to_records(counts, "domain", value, "window.end"), "files", path, topic=kind)
-        return stream_records(spark, "files", path)
-
-    joined = compare_domains(counted("click"), counted("purchase"), "2 hours")
+    streams = [stream_records(spark, "files", path) for path in _domain_records(spark, sf_dir)]
+    joined = compare_domains(*streams, "2 hours")
     return append_result(joined.select(
         plain_time("window.start").alias("window_start"), plain_time("window.end").alias("window_end"),
         "domain", "original_count", "reshare_count"))
 
 
+@book.query("STR-14 JOIN-4", DOMAIN_WINDOWS + """
+     one AS (SELECT 1)
+SELECT event_type AS topic, domain, domain = '4' AS bad, count(*) AS records FROM windows GROUP BY ALL""")
+def domain_records_sorted_out(spark, sf_dir):
+    """One pass over each stream writes readable and unreadable records apart; both are kept."""
+    found = None
+    for path in _domain_records(spark, sf_dir):
+        flagged = parse_json(stream_records(spark, "files", path), "value", DOMAIN_SCHEMA).select(
+            "topic", F.col("key").cast("string").alias("domain"), F.col("value").cast("string").alias("value"), "bad")
+        for rows, bad in zip(sort_out(flagged, scratch_path(spark, "sorted-records")), (False, True)):
+            counts = rows.groupBy("topic", "domain").agg(F.count(F.lit(1)).alias("records")).withColumn("bad", F.lit(bad))
+            found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+@book.query("STR-10 SRC-15", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def compacted_updates(spark, sf_dir):
+    """An update-mode table compacted between two runs: readers go on with the newest row per user."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    table = BatchTable(spark)
+    for part in _by_half(spark, sf_dir):
+        land(part, landing)
+        drain(for_each_batch(running_count(stream_events(spark, landing), "user_id"), table, "update", checkpoint))
+        table.compact("user_id")
+    return table.latest_by("user_id")
+
+
+@book.query("STR-11", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def interval_replay(spark, sf_dir):
+    """The same by a trigger at intervals, stopped when all there is has been worked through."""
+    table = BatchTable(spark)
+    query = for_each_batch(running_count(_events(spark, sf_dir), "user_id"), table, "update", trigger="1 second")
+    query.processAllAvailable()
+    query.stop()
+    return table.latest_by("user_id")
+
+
 @book.query("STR-11 SRC-6", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def capped_replay(spark, sf_dir):
     """A cap on the files per micro-batch that makes about four batches of any table."""
@@ -269,10 +406,8 @@ def capped_replay(spark, sf_dir):
 @book.query("STR-12 STR-3", BY_TYPE)
 def restarted_total(spark, sf_dir):
     """Half the rows, a stop, the other half: the totals carry on from the checkpoint."""
-    events = read(spark, sf_dir, "events")
-    first = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
-    for part in (events.where(first), events.where(~first)):
+    for part in _by_half(spark, sf_dir):
         land(part, landing)
         counts = running_count(stream_events(spark, landing), "event_type")
         totals = complete_result(counts, checkpoint)

@@ -62,6 +62,15 @@ def words_ending_in_letters(spark, sf_dir):
     return top_words_ending(counts, 20, ("n", "s"), rank_as="place")
 
 
+@book.query("TXT-5", COUNTS + """
+SELECT word, n FROM counts
+WHERE right(word, 3) = 'ing' OR right(word, 2) IN ('er', 'en') ORDER BY n DESC, word LIMIT 20""")
+def words_ending_in_syllables(spark, sf_dir):
+    """Endings of two and three letters."""
+    counts = word_count(tokens(read(spark, sf_dir, "documents"), "text"))
+    return top_words_ending(counts, 20, ("ing", "er", "en"))
+
+
 # The pages hold four entities, and titles cut short leave an ampersand without
 # its semicolon; the ampersand has to come last.
 @book.query("TXT-6", """

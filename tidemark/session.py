@@ -28,9 +28,9 @@ def pin_session(spark: SparkSession) -> SparkSession:
     for name, value in RESULT_SETTINGS.items():
         if spark.conf.get(name) != value:
             spark.conf.set(name, value)
-    chosen = spark.sparkContext.getConf()
+    chosen = spark.conf.getAll
     for name, value in SCALE_SETTINGS.items():
-        if not chosen.contains(name):
+        if name not in chosen:
             spark.conf.set(name, value)
     return spark
 

@@ -50,20 +50,21 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str,
             .csv(path))
 
 
-def infer_schema(df: DataFrame, column: str, n: int = 10, order_by: str | None = None,
+def infer_schema(df: DataFrame, column: str, n: int | None = None, order_by: str | None = None,
                  declared: T.StructType | str | None = None) -> T.StructType:
-    """Schema of the JSON texts in ``column``, from at most ``n`` of them (runs jobs).
+    """Schema of the JSON texts in ``column`` (runs jobs).
 
-    With ``order_by`` the sample is the same every time.  A field missing from
-    the sample, or null throughout it, is unseen or taken for text; fields in
-    ``declared`` are added and override what was seen.
+    All texts are read, so a field that only one of them has is found.  ``n`` asks for a
+    sample instead, the first ``n`` by ``order_by``, which then has to be given; a field
+    missing from it is unseen.  Fields in ``declared`` are added and override what was seen.
     """
-    texts = df.select(F.col(column).cast("string").alias("value"),
-                      *([F.col(order_by).alias("_order")] if order_by else []))
-    texts = texts.where(F.col("value").isNotNull())
-    sample = texts.orderBy("_order").limit(n) if order_by else texts.limit(n)
-    path = scratch_path(df.sparkSession, "schema-sample")
-    sample.select("value").write.text(path)
+    if n is not None and order_by is None:
+        raise ValueError("a sample needs order_by, else it differs from run to run")
+    texts = df.where(F.col(column).isNotNull())
+    sample = texts if n is None else texts.orderBy(order_by).limit(n)
+    path = scratch_path(df.sparkSession, "schema-texts")
+    # Line breaks between tokens mean nothing in JSON, and lines are what is read back.
+    sample.select(F.regexp_replace(F.col(column).cast("string"), "[\\r\\n]+", " ").alias("value")).write.text(path)
     seen = df.sparkSession.read.json(path).schema
     if declared is None:
         return seen

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.hashing import row_checksum
+from tidemark.functions.hashing import hash_sum, row_checksum
 from tidemark.functions.payload import CORRUPT, with_corrupt_field
 from tidemark.operators.ranking import preview
 from tidemark.sources.files import as_struct, ddl_of, scan_csv
@@ -36,7 +38,7 @@ def file_manifest(spark: SparkSession, path: str, schema: T.StructType | str,
     """One row per CSV file: size, time, header present, rows, corrupt rows, checksum.
 
     The checksum ignores row order, so it survives a rewrite into other files:
-    the whole data set's is the XOR over its files.
+    the whole data set's is the sum over its files.
     """
     declared = as_struct(schema)
     checked = _checked_lines(spark, path, declared, sep)
@@ -47,18 +49,18 @@ def file_manifest(spark: SparkSession, path: str, schema: T.StructType | str,
             .agg(F.max("is_header").alias("has_header"),
                  F.count_if(is_row).alias("rows"),
                  F.count_if(corrupt).alias("corrupt_rows"),
-                 F.bit_xor(F.when(is_row, F.xxhash64(*fields))).alias("checksum")))
+                 hash_sum(F.when(is_row, F.xxhash64(*fields))).alias("checksum")))
 
 
-def file_digests(spark: SparkSession, path: str, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """MD5 of every file up to ``max_bytes``; larger ones are compared by row checksum.
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, rows, checksum) of every text file, whatever its size.
 
-    A file is digested in one piece, hence the bound, which is applied before any
-    content is read.
+    The checksum is the sum of the hashes of a file's lines, so a file is read in as
+    many tasks as it has splits.  Empty files have no lines and no row here.
     """
-    return (spark.read.format("binaryFile").load(path)
-            .where(F.col("length") <= max_bytes)
-            .select("path", "length", F.md5("content").alias("md5")))
+    return (spark.read.text(path)
+            .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
+            .agg(F.count(F.lit(1)).alias("rows"), hash_sum(F.xxhash64("value")).alias("checksum")))
 
 
 def sample_rows(spark: SparkSession, path: str, schema: T.StructType | str, n: int = 5,
@@ -79,7 +81,7 @@ def validate_dataset(spark: SparkSession, path: str, schema: T.StructType | str,
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("corrupt_rows"), F.lit(0)).alias("corrupt_rows"),
         F.coalesce(F.min("has_header"), F.lit(False)).alias("has_header"),
-        F.bit_xor("checksum").alias("checksum"), F.max("file_modified").alias("last_modified"))
+        F.coalesce(F.sum("checksum"), F.lit(0)).cast("decimal(38,0)").alias("checksum"), F.max("file_modified").alias("last_modified"))
     return report.withColumn(
         "healthy", (F.col("rows") > 0) & (F.col("corrupt_rows") == 0) & F.col("has_header"))
 
@@ -89,23 +91,36 @@ class ValidationError(RuntimeError):
 
 
 def publish_validated(df: DataFrame, report: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` below ``path`` if ``report`` allows it, and verify the copy (runs jobs).
+    """Write ``df`` as a new version below ``path`` if ``report`` allows it, verify it, then publish it (runs jobs).
 
-    ``report`` is one row with ``healthy``, ``rows`` and ``checksum``.  The copy is
-    read back and has to show the same count and checksum.  Returns the copy.
+    ``report`` is one row with ``healthy``, ``rows`` and ``checksum``.  The version is read
+    back and has to show the same count and checksum; only then a row naming it is added
+    to the table of verified versions, which readers go by.  An earlier version is never
+    touched, and a refused one is never read.  Returns the copy.
     """
+    spark = df.sparkSession
     verdict = report.select("healthy", "rows", "checksum").first()
     if verdict is None or not verdict["healthy"]:
         raise ValidationError(f"not published, report says {verdict}")
-    df.write.mode("overwrite").parquet(path)
-    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path}/versions/{version}")
+    copy = spark.read.schema(df.schema).parquet(f"{path}/versions/{version}")
     found = copy.agg(F.count(F.lit(1)).alias("rows"),
                      row_checksum(copy.columns).alias("checksum")).first()
     if (found["rows"], found["checksum"]) != (verdict["rows"], verdict["checksum"]):
         raise ValidationError(f"copy differs: {found} instead of {verdict}")
+    (spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published"),
+                           F.lit(found["rows"]).alias("rows"), F.lit(found["checksum"]).cast("decimal(38,0)").alias("checksum"))
+     .write.mode("append").parquet(f"{path}/verified"))
     return copy
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The version verified last."""
+    newest = spark.read.parquet(f"{path}/verified").orderBy(F.col("published").desc(), "version").first()
+    return spark.read.parquet(f"{path}/versions/{newest['version']}")
+
+
 def table_report(df: DataFrame) -> DataFrame:
     """The report of a table that is typed already: rows, checksum, and healthy when not empty."""
     return (df.agg(F.count(F.lit(1)).alias("rows"), row_checksum(df.columns).alias("checksum"))

@@ -73,6 +73,16 @@ def append_to(df: DataFrame, path: str, checkpoint: str | None = None,
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sort_out(flagged: DataFrame, path: str, flag: str = "bad", checkpoint: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run a stream of parsed rows once, writing good and bad ones apart; returns both tables.
+
+    The input is read and parsed in one pass.  ``flag`` is a boolean column (as
+    ``parse_json`` adds it); the tables come without it.
+    """
+    rows = append_to(flagged, path, checkpoint, partition_by=flag)
+    return rows.where(~F.col(flag)).drop(flag), rows.where(flag).drop(flag)
+
+
 def for_each_batch(df: DataFrame, action: BatchFunction, mode: str = "append",
                    checkpoint: str | None = None, trigger: str | None = AVAILABLE_NOW) -> StreamingQuery:
     """Call ``action(batch, number)`` for every micro-batch.
@@ -94,6 +104,7 @@ class BatchTable:
         self.prepare = prepare
         self.schema = None
         self.last: int | None = None
+        self.compacted: tuple[int, str] | None = None
 
     def _find_last(self) -> None:
         """Take up a table written by an earlier run, for a stream that found nothing new."""
@@ -113,17 +124,35 @@ class BatchTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={self.last}")
 
     def all_batches(self) -> DataFrame:
-        """The rows of every batch, with its number in ``batch``."""
+        """The rows of every batch, with its number in ``batch``; of compacted ones what is left."""
         self._find_last()
-        return self.spark.read.schema(f"{ddl_of(self.schema)}, batch BIGINT").parquet(self.path)
-
-    def latest_by(self, *keys: str) -> DataFrame:
+        rows = self.spark.read.schema(f"{ddl_of(self.schema)}, batch BIGINT").parquet(self.path)
+        if self.compacted is None:
+            return rows
+        upto, path = self.compacted
+        return rows.where(F.col("batch") > upto).unionByName(self.spark.read.schema(rows.schema).parquet(path))
+
+    def compact(self, *keys: str) -> None:
+        """Keep only the newest row per key of the batches so far (runs a job).
+
+        The rows are written beside the table; from then on readers of this object take
+        them and, of the batch folders, only later ones, which a filter on the folder
+        names leaves out of the scan.  The older folders are not deleted; they may be,
+        once no other reader needs them.
+        """
+        rows = self.latest_by(*keys, with_batch=True)
+        upto, path = self.last, f"{self.path}-compacted/upto={self.last}"
+        rows.write.mode("overwrite").parquet(path)
+        self.compacted = (upto, path)
+
+    def latest_by(self, *keys: str, with_batch: bool = False) -> DataFrame:
         """The newest row per key: the current result of an update-mode stream."""
         rows = self.all_batches()
         rest = [c for c in rows.columns if c not in (*keys, "batch")]
         # A key occurs once per batch, so the columns may be picked one by one,
         # which leaves numbers to the hash aggregate; a struct would be sorted.
-        return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in rest))
+        batch = [F.max("batch").alias("batch")] if with_batch else []
+        return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in rest), *batch)
 
 
 def complete_result(df: DataFrame, checkpoint: str | None = None,

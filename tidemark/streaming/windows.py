@@ -48,14 +48,20 @@ def tumbling_count(stream: DataFrame, ts: str, size: str, keys: Sequence[str] =
     return counted.select(*_bounds(), *keys, name)
 
 
-def paned(stream: DataFrame, size: str, slide: str, delay: str | None) -> bool:
+def paned(stream: DataFrame, size: str, slide: str, delay: str | None, panes: bool | None = None) -> bool:
     """Whether to aggregate per slide before spreading over the windows.
 
-    Overlapping windows multiply rows; aggregated slides are far fewer.  Needs
-    windows made of whole slides and, on a stream, a second aggregation, which
-    Spark allows in append mode, hence with a delay.
+    Overlapping windows multiply rows; aggregated slides are far fewer.  Needs windows
+    made of whole slides.  On a table nothing else changes, so it is the default there.
+    On a stream a slide closes before its windows do, and a row that comes after that is
+    lost from all of them, so it is done only if asked for with ``panes=True``; it also
+    takes a second aggregation, which Spark allows in append mode, hence with a delay.
     """
-    return in_panes(size, slide) and (not stream.isStreaming or delay is not None)
+    if panes is None:
+        return in_panes(size, slide) and not stream.isStreaming
+    if panes and not (in_panes(size, slide) and (not stream.isStreaming or delay is not None)):
+        raise ValueError("panes need windows of whole slides, and on a stream a delay")
+    return panes
 
 
 def windows_of(pane: str, size: str, slide: str) -> Column:
@@ -64,10 +70,13 @@ def windows_of(pane: str, size: str, slide: str) -> Column:
 
 
 def sliding_count(stream: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = (),
-                  delay: str | None = None, name: str = "n") -> DataFrame:
-    """Rows per overlapping window; keys with no row in a window do not appear in it."""
+                  delay: str | None = None, name: str = "n", panes: bool | None = None) -> DataFrame:
+    """Rows per overlapping window; keys with no row in a window do not appear in it.
+
+    A late row counts in every window still open.  ``panes``: see ``paned``.
+    """
     rows = with_watermark(stream, ts, delay)
-    if paned(stream, size, slide, delay):
+    if paned(stream, size, slide, delay, panes):
         panes = rows.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
             F.count(F.lit(1)).alias("pane_n"))
         counted = (panes.groupBy(windows_of("pane", size, slide).alias("window"), *keys)
