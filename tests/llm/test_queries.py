@@ -1,0 +1,30 @@
+"""Every query of the package that SQL can express, on the smallest tables; every query on empty ones."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_points
+from tests.test_registry import compare
+from tidemark.llm.queries import book
+
+NAMES = list(book.entries)
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if book.entries[n].sql])
+def test_query_agrees_with_its_sql(spark, sf_dir, name):
+    verdict, _ = compare.compare(spark, compare.connect(sf_dir), name, entry_points.queries()[name], book.entries[name].sql, sf_dir)
+    assert verdict.startswith("ok") and "TYPES" not in verdict, verdict
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_empty_tables_give_no_rows(spark, sf_dir, folder, name):
+    for table in ("documents", "labels", "pages", "embeddings", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").limit(0).write.parquet(os.path.join(folder, f"{table}.parquet"))
+    found = entry_points.queries()[name](spark, folder)
+    assert found.count() == 0 and found.columns
+
+
+def test_one_query_per_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert "pipeline" in entry_points.queries()

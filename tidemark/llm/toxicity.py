@@ -23,7 +23,7 @@ is 0.  Repeated rows get equal severities.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -65,7 +65,7 @@ class Model(NamedTuple):
 
 def training_words(docs: DataFrame, labels: DataFrame, id: str, text: str, label_id: str, grade: str,
                    sample_rows: int = SAMPLE_ROWS, seed: str = "toxicity") -> DataFrame:
-    """(grade, weight, words) of the labelled sample."""
+    """(grade, all, words, key) of the labelled sample; ``all`` is how many labels have the grade."""
     graded = (labels.where(F.col(label_id).isNotNull() & F.col(grade).isNotNull())
               .groupBy(F.col(label_id).alias("id")).agg(F.max(grade).cast("int").alias("grade")))
     order = Window.partitionBy("grade").orderBy(shuffle_key(seed, F.col("id")))
@@ -74,16 +74,16 @@ def training_words(docs: DataFrame, labels: DataFrame, id: str, text: str, label
     sample = stage(first.join(all_of, "grade"), "toxicity-sample")
     # At most sample_rows ids per grade: small enough to send to every task.
     rows = (docs.where(F.col(text).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
-            .join(F.broadcast(sample), "id").select("grade", "all", "text"))
+            .join(F.broadcast(sample), "id").select("grade", "all", "text", F.xxhash64("id", "text").alias("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(
-                    [sorted(words_of(t)) for t in part.column(2).to_pylist()], pa.list_(pa.string()))], ["grade", "all", "words"])
+                    [sorted(words_of(t)) for t in part.column(2).to_pylist()], pa.list_(pa.string())), part.column(3)], ["grade", "all", "words", "key"])
 
-    return rows.mapInArrow(run, "grade int, all long, words array<string>")
+    return rows.mapInArrow(run, "grade int, all long, words array<string>, key long")
 
 
 class Sparse(NamedTuple):
@@ -104,27 +104,48 @@ class Sparse(NamedTuple):
                       self.word_text[words], word_row, at[self.word_column[inside]])
 
 
-def sparse_features(words: Iterable[list[str]], graded: np.ndarray, min_docs: int) -> Sparse:
-    """Features in at least ``min_docs`` texts that graded texts have more often than others."""
+def sparse_features(words: pa.ChunkedArray, graded: np.ndarray, min_docs: int) -> Sparse:
+    """Features in at least ``min_docs`` texts that graded texts have more often than others.
+
+    Words are numbered once; the features of a text are never held for all texts together,
+    only those chosen.
+    """
+    lists = words.combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    codes, ends = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    starts, ends = ends[:-1] - ends[0], ends[1:] - ends[0]
     ids: dict[str, int] = {}
-    of_word: dict[str, np.ndarray] = {}
-    word_text, lists = [], []
-    for i, found in enumerate(words):
-        for word in found:
-            if word not in of_word:
-                of_word[word] = np.array([ids.setdefault(f, len(ids)) for f in features_of(word)])
-            lists.append(of_word[word])
-        word_text.append(np.full(len(found), i))
-    text_of = np.concatenate(word_text).astype(np.int64)
-    word_row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    word_column = np.concatenate(lists)
-    pairs = np.unique(text_of[word_row] * len(ids) + word_column)
-    row, column = pairs // len(ids), pairs % len(ids)
-    n = np.bincount(column, minlength=len(ids))
-    hits = np.bincount(column, graded[row], len(ids))
+    of_word = np.full((len(coded.dictionary), 1 + len(PREFIXES)), -1, np.int32)
+    for i, word in enumerate(coded.dictionary.to_pylist()):
+        found = [ids.setdefault(f, len(ids)) for f in features_of(word)]
+        of_word[i, :len(found)] = found
+    n, hits = np.zeros(len(ids)), np.zeros(len(ids))
+    for i in range(len(graded)):
+        here = np.unique(of_word[codes[starts[i]:ends[i]]])
+        here = here[here >= 0]
+        n[here] += 1
+        hits[here] += graded[i]
     share = graded.mean()
-    return Sparse(list(ids), row, column, text_of, word_row, word_column).only(
-        (n >= min_docs) & (hits > 2 * share * n / (1 + share)))
+    keep = (n >= min_docs) & (hits > 2 * share * n / (1 + share))
+    at = np.append(np.where(keep, np.cumsum(keep) - 1, -1), -1).astype(np.int32)
+    of_word = at[of_word]
+    telling = (of_word >= 0).any(axis=1)
+    row, column, word_text, word_row, word_column = [], [], [], [], []
+    n_words = 0
+    for i in range(len(graded)):
+        here = codes[starts[i]:ends[i]]
+        here = of_word[here[telling[here]]]
+        found = np.unique(here)
+        found = found[found >= 0]
+        row.append(np.full(len(found), i))
+        column.append(found)
+        word, place = np.nonzero(here >= 0)
+        word_text.append(np.full(len(here), i))
+        word_row.append(word + n_words)
+        word_column.append(here[word, place])
+        n_words += len(here)
+    joined = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (row, column, word_text, word_row, word_column)]
+    return Sparse([name for name, k in zip(ids, keep) if k], *joined)
 
 
 def fit(grades: np.ndarray, weight: np.ndarray, row: np.ndarray, column: np.ndarray, n_features: int, l1: float,
@@ -185,12 +206,12 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     grades = sample["grade"].to_numpy()
     if not len(grades) or grades.min() == grades.max():
         return None
-    order = np.argsort([f"{g}|{'|'.join(w[:20])}|{len(w)}" for g, w in zip(grades, sample["words"].to_pylist())], kind="stable")
+    order = np.argsort(sample["key"].to_numpy(), kind="stable")
     sample, grades = sample.take(pa.array(order)), grades[order]
     grades = np.unique(grades, return_inverse=True)[1]
     taken = np.bincount(grades)
     weight = sample["all"].to_numpy() / taken[grades]
-    found = sparse_features(sample["words"].to_pylist(), (grades > 0).astype(float), support)
+    found = sparse_features(sample["words"], (grades > 0).astype(float), support)
     one = weight[grades > 0].mean() / weight.sum()
     w, _ = fit(grades, weight, found.row, found.column, len(found.names), l1=support * one, ridge=0.0)
     found = found.only(w > 0)
