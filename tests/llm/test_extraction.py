@@ -1,0 +1,59 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import extraction as x
+
+
+def text(html):
+    return x.text_of(x.parse(html))
+
+
+@pytest.mark.parametrize("html, want", [
+    ("", ""), ("just text", "just text"), ("<p>a</p><p>b", "a\n\nb"), ("<p>a<p>b", "a\n\nb"),
+    ("<b>a</b>b <i>c</i>", "ab c"), ("<p> a \n\t b&nbsp;c<br>d </p>", "a b c d"),
+    ("<p>1 &lt; 2 &amp;amp; &#233;&#x41; &copy; &amp</p>", "1 < 2 &amp; éA © &"),
+    ("<head><title>t</title><style>p{}</style></head><script>var a='<p>x</p>';</script><p>y</p>", "y"),
+    ("<nav>n</nav><header>h</header><main><header><h1>T</h1></header><p>m</p><aside>a</aside></main><footer>f</footer>", "T\n\nm"),
+    ("<div class='ad'>x</div><div id=cookie-notice>c</div><p>y</p><div class='user-comments'>z</div><div role=navigation>n</div>", "y"),
+    ("<div class='has-sidebar content'><p>kept</p></div><div class='sidebarLeft'>gone</div>", "kept"),
+    ("<article><p>a</p><article class=comment>c</article></article><p>outside</p><article>b</article>", "a\n\nb"),
+    ("<form><p>f</p><input value='<p>'></form><p title='a > b'>t</p><!-- <p>c</p> --><![CDATA[d]]>", "t\n\nd"),
+    ("<ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><th>3</table>", "a\n\nb\n\n1\n\n2\n\n3"),
+    ("<p hidden>h</p><p style='display: none'>d</p><p>v</p><textarea><p>x</textarea>after", "v\n\nafter"),
+    ("<article><h1>T</h1><p><b>x<br><p>y</p></article><footer>f", "T\n\nx\n\ny"),
+    ("<article><p>end cut off <a hre", "end cut off"), ("</p></div>a</b><p>b</span></p>", "a\n\nb"), ("<P CLASS=Ad>no</P><DIV>yes</DIV>", "yes"),
+])
+def test_main_text(html, want):
+    assert text(html) == want
+
+
+def test_deep_and_long_pages():
+    assert text("<div>" * 20_000 + "deep") == "deep"
+    long = "<p>" + "word " * 200_000 + "</p>"
+    assert text(long) == ("word " * 200_000).strip()
+    assert text("<p title=\"" * 2000 + "x") is not None
+
+
+def site(n):
+    page = ('<body><div class="x9"><a href="/a">Home</a> <a href="/b">More</a></div><div class="c7"><p>unique {0} text</p>{1}</div>'
+            '<div class="z2">All rights reserved</div></body>')
+    return [(i, f"http://A.example/{i}", page.format(i, f"<p>more {i}</p>" * (i % 4))) for i in range(n)]
+
+
+def test_template_branches_go_where_a_site_shows_them(spark):
+    df = spark.createDataFrame([*site(30), (100, "http://b.example/1", site(1)[0][2]), (101, None, None), (101, None, None), (102, "x", "")],
+                               "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in x.extract(df).collect()}
+    for i in range(30):
+        want = "\n\n".join([f"unique {i} text"] + [f"more {i}"] * (i % 4))
+        assert got[i] == (want, len(want))
+    assert got[100][0] == "Home More\n\nunique 0 text\n\nAll rights reserved"  # one page is no evidence
+    assert got[101] == got[102] == ("", 0)
+
+
+def test_a_site_of_copies_keeps_its_text(spark):
+    df = spark.createDataFrame([(i, "http://c.example/", "<div class=q><p>same</p></div>") for i in range(20)],
+                               "page_id long, url string, html string")
+    assert {r["text"] for r in x.extract(df).collect()} == {"same"}
+    tree = {r["path"]: r["importance"] for r in x.style_tree(df, "url", "html").collect()}
+    assert tree["/div.q"] == pytest.approx(0) and x.extract(df.limit(0)).count() == 0

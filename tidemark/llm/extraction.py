@@ -76,7 +76,9 @@ NOISE_WORDS = frozenset("nav navbar navigation navi menu submenu footer sidebar
                         "comment comments respond disqus widget widgets toolbar topbar masthead login search skip".split())
 NEGATED = frozenset("has with no without".split())
 PAGE_HEADER = frozenset(["header"])
-KEPT = frozenset("html body main article".split())
+KEPT = frozenset("html body main".split())
+#: An outermost article is only ruled out by what cannot be said of a page's own article.
+NOT_ARTICLE = frozenset("comment comments ad ads advert advertisement sponsored related recommended promo".split())
 
 
 class Node:
@@ -106,10 +108,11 @@ def _is_noise(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in NOISE_ROLES:
         return True
+    noise = NOT_ARTICLE if tag == "article" and not in_article else NOISE_WORDS
     for name in attributes.get("class", "").split() + attributes.get("id", "").split():
         words = [w.lower() for w in NAME_PART.findall(name)]
         if words and words[0] not in NEGATED and any(
-                w in NOISE_WORDS or (w in PAGE_HEADER and not in_article) for w in words):
+                w in noise or (w in PAGE_HEADER and not in_article) for w in words):
             return True
     return False
 
