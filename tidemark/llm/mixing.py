@@ -59,8 +59,7 @@ def water_levels(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: in
     return rows.select("skey", "source_size", target.alias("target"), "budget")
 
 
-def _queued(docs: DataFrame, ahead: DataFrame, id: str, text: str, source: str, seed: str, most: int) -> DataFrame:
-    rows = _sized(docs, id, text, source, seed)
+def _queued(rows: DataFrame, ahead: DataFrame, most: int) -> DataFrame:
     inside = (Window.partitionBy("skey", "bucket").orderBy("key")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.join(ahead, ["skey", "bucket"]).withColumn("words", F.col("before") + F.sum("size").over(inside))
@@ -69,9 +68,9 @@ def _queued(docs: DataFrame, ahead: DataFrame, id: str, text: str, source: str,
     return rows.withColumn("finishes", F.array(*finish))
 
 
-def _sized(docs: DataFrame, id: str, text: str, source: str, seed: str) -> DataFrame:
+def _sized(docs: DataFrame, keep: list[str] | None, id: str, text: str, source: str, seed: str) -> DataFrame:
     key = shuffle_key(seed, F.col(id), F.md5(F.col(text)))
-    return (packed(docs, size=word_count(F.col(text)), skey=source_key(F.col(source)), key=key)
+    return (packed(docs, keep, size=word_count(F.col(text)), skey=source_key(F.col(source)), key=key)
             .withColumn("bucket", hex_bucket(F.col("key"))))
 
 
@@ -105,19 +104,19 @@ def _cut(queue: DataFrame, budget: float):
 
 
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
-        share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
+        share: float = 1.5, most: int = 2, seed: str = "mix", keep: list[str] | None = None) -> DataFrame:
     """Every document with its size, its source's size and target, and how often the mix takes it.
 
-    Runs jobs to find the cut.  Adds ``size``, ``source_size``, ``target``, ``finish`` (its
+    Runs jobs to find the cut.  ``keep`` names the columns to carry along (all by default).  Adds ``size``, ``source_size``, ``target``, ``finish`` (its
     first finish time) and ``passes`` (0 to ``most``); an input column of such a name gives way.
     """
-    sums = stage(_sized(docs, id, text, source, seed).groupBy("skey", "bucket").agg(F.sum("size").alias("words")),
-                 "mix-sums")
+    sized = _sized(docs, keep, id, text, source, seed)
+    sums = stage(sized.groupBy("skey", "bucket").agg(F.sum("size").alias("words")), "mix-sums")
     levels = water_levels(sums.groupBy("skey").agg(F.sum("words").alias("source_size")), weights, share, most)
     earlier = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ahead = stage(sums.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words")
                   .join(levels, "skey"), "mix-targets")
-    queue = _queued(docs, ahead, id, text, source, seed, most)
+    queue = _queued(sized, ahead, most)
     first = ahead.select("budget").first()
     cut = _cut(queue, first["budget"]) if first else None
     place = [F.struct(F.col("finishes")[p].alias("finish"), "skey", "key") for p in range(most)]

@@ -35,7 +35,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @book.query("LLM-3", sql.MIX)
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix of all sources takes from each document."""
-    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
 
 
