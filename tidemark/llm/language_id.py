@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import packed, shuffle_key, unpacked
+from tidemark.scratch import stage
 
 ORDER = 4
 SAMPLE_DOCS, SAMPLE_BYTES = 1500, 3_000_000
@@ -215,16 +216,21 @@ def training_sample(docs: DataFrame, id: str, text: str, lang: str, sample_docs:
                     sample_bytes: int = SAMPLE_BYTES, seed: str = "language") -> DataFrame:
     """(lang, text): a bounded seeded sample of whole documents of each language.
 
-    Only ids and lengths are ranked, each task keeping its first ``sample_docs`` per language.
+    Ids and lengths alone are ranked, and of these only the share of each language whose
+    hashes are low enough to hold about twice ``sample_docs``.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), shuffle_key(seed, F.col(id), F.octet_length(text)).alias("key"),
         F.octet_length(text).alias("n"), F.col(text).alias("text"))
+    of_all = stage(rows.groupBy("lang").agg(F.count("*").alias("rows")), "language-counts")
+    place = F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / float(1 << 48)
     order = Window.partitionBy("lang").orderBy("key")
-    first = (rows.select("lang", "key", "n").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
+    low = rows.select("lang", "key", "n").join(of_all, "lang").where(place * F.col("rows") < 2 * sample_docs)
+    first = (low.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
              .withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("rank")) - F.col("n"))
              .where(F.col("before") < sample_bytes).select("lang", "key").distinct())
-    return rows.join(first, ["lang", "key"], "left_semi").select("lang", "text")
+    # At most sample_docs short keys per language: small enough to send to every task.
+    return rows.join(F.broadcast(stage(first, "language-sample")), ["lang", "key"], "left_semi").select("lang", "text")
 
 
 def train(sample: DataFrame, order: int = ORDER) -> PPM | None:
