@@ -4,6 +4,8 @@ Files are written from the given tables into the working folder, whole, and
 scanned from there.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import date_and_time, plain_time
@@ -86,6 +88,14 @@ def catalog_scan(spark, sf_dir):
     return scan_table(spark, "catalog_customer").select("c_custkey", "c_name", "c_mktsegment")
 
 
+@book.query("SRC-4", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal > 0")
+def stored_table_scan(spark, sf_dir):
+    """A table the catalog stores as files, by name; the filter reaches its scan."""
+    name = f"stored_customer_{uuid.uuid4().hex}"
+    read(spark, sf_dir, "customer").write.option("path", scratch_path(spark, "stored-table")).saveAsTable(name)
+    return scan_table(spark, name).where("c_acctbal > 0").select("c_custkey", "c_name", "c_mktsegment")
+
+
 @book.query("SRC-10", """SELECT o_orderpriority, count(*) AS orders, max(o_totalprice) AS highest
                          FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority""")
 def named_view_sql(spark, sf_dir):
