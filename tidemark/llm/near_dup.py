@@ -12,10 +12,13 @@ the components of the links.  The class id is the smallest document id of the cl
   probability their weighted similarity.
 * **Copies** first: equal texts share one row from here on.
 * **Bands** of ``r`` coordinates are joined by key.  Texts of one bucket are not paired with
-  one another: each is compared with the smallest of its bucket.  After that, buckets that
-  still hold several classes pair the members of all but the largest class with the members
-  of other classes.  So every pair in a bucket is compared or lies in one class already, and
-  a bucket of near copies costs one comparison per member.
+  one another: each is compared with the smallest of its bucket.  After that, in buckets that
+  still hold several classes, members of all but the largest class meet members of other
+  classes, under an exact bound: the parities of a set's hashes in 512 bits differ between
+  two sets in no more bits than the sets differ in shingles.  Only pairs that the bound lets
+  through leave the join and are compared.  So every pair in a bucket is compared, ruled out
+  by the bound, or lies in one class already, and a bucket of linked copies costs one
+  comparison per member.
 * **Checks** compare whole shingle sets, so no link is wrong.  A pair at similarity 0.8 is
   missed by all bands with probability ``(1 - 0.8^4)^24 = 3e-6``.
 * **Components** by alternating large-star and small-star steps, each written out.
@@ -27,10 +30,13 @@ never a class id unless the whole class has none.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +45,21 @@ from tidemark.scratch import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
+PARITY_WORDS = 8
+#: Texts, and about so many bytes of them, handled at once in a task; words remembered there.
+RUN_TEXTS, RUN_BYTES, MEMORY = 2048, 2_000_000, 1_000_000
+WORD = re.compile(r"[^\W_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(text: Column) -> Column:
-    """The words of a text as 64-bit hashes."""
-    words = F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+class Hashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MEMORY:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -142,69 +156,94 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _lists(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Runs of rows with about ``most`` list items in all: (rows, items, length of each row's list)."""
-    lists = batch.column(column)
-    offsets = lists.offsets.to_numpy()
-    items = lists.values.to_numpy(zero_copy_only=False)
+def _words(batch: pa.RecordBatch, column: int, known: Hashes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows of bounded size: (rows, the hashes of their words, how many each text has)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = 0
     while start < batch.num_rows:
-        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1)
-        end = min(end, batch.num_rows)
-        yield slice(start, end), items[offsets[start]:offsets[end]].view(np.uint64), np.diff(offsets[start:end + 1])
+        end, size = start, 0
+        while end < batch.num_rows and end - start < RUN_TEXTS and (end == start or size + sizes[end] <= RUN_BYTES):
+            size += sizes[end]
+            end += 1
+        part = batch.slice(start, end - start)
+        found: list[int] = []
+        lengths = np.zeros(end - start, np.int64)
+        for i, text in enumerate(part.column(column).to_pylist()):
+            before = len(found)
+            found.extend(map(known.__getitem__, WORD.findall(text.lower())))
+            lengths[i] = len(found) - before
+        yield part, np.array(found, np.uint64), lengths
         start = end
 
 
 def sketches(rows: DataFrame, bands: int = BANDS, r: int = ROWS, shingle: int = SHINGLE, weighting: str = "one") -> DataFrame:
-    """``words`` of each row replaced by ``bands``, its band keys; null for a text without words."""
-    kept = [f for f in rows.schema.fields if f.name != "words"]
+    """``text`` of each row replaced by ``bands``, its band keys; empty for a text without words."""
+    kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
         for batch in batches:
-            for part, words, lengths in _lists(batch, len(kept), 300_000):
+            for part, words, lengths in _words(batch, len(kept), known):
                 hashes, of, weights = weighed(*shingles(words, lengths, shingle), weighting)
                 sketch = dart_sketch(hashes, of, weights, len(lengths), bands * r)
                 keys = band_keys(sketch, bands, r)[lengths > 0].reshape(-1)
                 offsets = np.concatenate([[0], np.cumsum(np.where(lengths > 0, bands, 0))]).astype(np.int32)
-                same = batch.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([same.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))]
                                                  + [pa.ListArray.from_arrays(offsets, pa.array(keys))],
                                                  [f.name for f in kept] + ["bands"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", bands array<long>"
-    return rows.select(*[f.name for f in kept], "words").mapInArrow(run, schema)
+    return rows.select(*[f.name for f in kept], "text").mapInArrow(run, schema)
+
+
+def parities(hashes: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """(n, PARITY_WORDS) words of 64 bits: each bit is the parity of the hashes that fall on it."""
+    bits = 64 * PARITY_WORDS
+    counts = np.bincount(of * bits + (hashes % np.uint64(bits)).astype(np.int64), minlength=n * bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).reshape(n, PARITY_WORDS)
 
 
 def shingle_sets(rows: DataFrame, shingle: int = SHINGLE, weighting: str = "one") -> DataFrame:
-    """(node, words) -> (node, set, n): distinct shingles (with their occurrence numbers, if
-    counts weigh) and how many."""
+    """(node, text) -> (node, set, n, parity): distinct shingles (with their occurrence
+    numbers, if counts weigh), how many, and their parities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
         for batch in batches:
-            for part, words, lengths in _lists(batch, 1, 300_000):
+            for part, words, lengths in _words(batch, 1, known):
                 hashes, of, weights = weighed(*shingles(words, lengths, shingle), weighting)
                 with np.errstate(over="ignore"):  # the n-th occurrence of a shingle is an element of its own
                     times = weights.astype(np.int64)
                     number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                     hashes = mixed(np.repeat(hashes, times) + number.astype(np.uint64) * MIX)
-                counts = np.bincount(np.repeat(of, times), minlength=len(lengths))
+                of = np.repeat(of, times)
+                counts = np.bincount(of, minlength=len(lengths))
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                parity = parities(hashes, of, len(lengths)).reshape(-1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.start, part.stop - part.start),
-                     pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))), pa.array(counts, pa.int32())],
-                    ["node", "set", "n"])
+                    [part.column(0), pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))), pa.array(counts, pa.int32()),
+                     pa.ListArray.from_arrays(np.arange(0, len(parity) + 1, PARITY_WORDS, dtype=np.int32), pa.array(parity))],
+                    ["node", "set", "n", "parity"])
 
-    return rows.select("node", "words").mapInArrow(run, "node long, set array<long>, n int")
+    return rows.select("node", "text").mapInArrow(run, "node long, set array<long>, n int, parity array<long>")
+
+
+def _near(na: Column, nb: Column, parity_a: Column, parity_b: Column, similarity: float) -> Column:
+    """Whether sizes and parities leave room for the similarity: at most so many shingles in one set only."""
+    apart = F.aggregate(F.zip_with(parity_a, parity_b, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
+    return (F.least(na, nb) >= similarity * F.greatest(na, nb)) & (
+        apart <= F.floor((1 - similarity) / (1 + similarity) * (na + nb) + 1e-6))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough; only those whose sizes allow it are compared."""
-    sizes = sets.select("node", "n")
-    near = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-            .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-            .where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")))
-    full = (near.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a"))
-    shared = F.size(F.array_intersect("sa", "sb"))
+    """The pairs (a, b) whose shingle sets are similar enough; only those that may be are compared whole."""
+    def of(node: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("node").alias(node), *[F.col(c).alias(c + node) for c in columns])
+
+    near = (pairs.join(of("a", "n", "parity"), "a").join(of("b", "n", "parity"), "b")
+            .where(_near(F.col("na"), F.col("nb"), F.col("paritya"), F.col("parityb"), similarity))
+            .select("a", "b", "na", "nb"))
+    full = near.join(of("b", "set"), "b").join(of("a", "set"), "a")
+    shared = F.size(F.array_intersect("seta", "setb"))
     return full.where(shared >= similarity * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
@@ -229,53 +268,61 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
+def _key(id: Column) -> Column:
+    """The id as a join key that is never null."""
+    return F.coalesce(id.cast("string"), F.lit("~"))
+
+
 def _digested(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, digest, text) of the rows with a text; ``key`` is the id and never null."""
-    return docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("string"), F.lit("~")).alias("key"),
+    return docs.select(F.col(id).alias("id"), _key(F.col(id)).alias("key"),
                        F.md5(F.col(text)).alias("digest"), F.col(text).alias("text")).where("text IS NOT NULL")
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, shingle: int = SHINGLE,
             bands: int = BANDS, r: int = ROWS, weighting: str = "one") -> DataFrame:
-    """(digest, n, class_digest, class_id) of every distinct text, ``n`` being its rows.
+    """(digest, class_digest, class_id) of every distinct text.
 
     Runs jobs and keeps their results in the shared folder.
     """
     if weighting not in ("one", "count"):
         raise ValueError("weighting is 'one' or 'count'")
     rows = _digested(docs, id, text)
-    texts = stage(sketches(rows.select("id", "digest", word_hashes(F.col("text")).alias("words")), bands, r, shingle, weighting)
-                  .groupBy("digest").agg(F.first("bands").alias("bands"), F.min("id").alias("id"), F.count("*").alias("n"))
+    texts = stage(sketches(rows.select("id", "digest", "text"), bands, r, shingle, weighting)
+                  .groupBy("digest").agg(F.first("bands").alias("bands"), F.min("id").alias("id"))
                   .withColumn("node", F.monotonically_increasing_id()), "near-texts")
     member = texts.select("node", F.explode("bands").alias("bucket"))
     center = member.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
     shared = stage(member.join(center, "bucket"), "near-shared")
     pairs = stage(shared.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct(), "near-pairs")
     wanted = stage(shared.select("node").distinct().join(texts, "node").select(
-        "node", "digest", F.coalesce(F.col("id").cast("string"), F.lit("~")).alias("key")), "near-wanted")
+        "node", "digest", _key(F.col("id")).alias("key")), "near-wanted")
     # One row of each text: its least id's; joined on the id too, so copies of a text do not meet in one task.
     found = rows.select("digest", "key", "text").join(wanted, ["digest", "key"]).dropDuplicates(["digest", "key"])
-    sets = stage(shingle_sets(found.select("node", word_hashes(F.col("text")).alias("words")), shingle, weighting), "near-sets")
+    sets = stage(shingle_sets(found.select("node", "text"), shingle, weighting), "near-sets")
     links = stage(verified(pairs, sets, similarity), "near-links")
-    rest = _unjoined(shared, components(links)).join(pairs, ["a", "b"], "left_anti")
+    rest = _unjoined(shared, components(links), sets, similarity).join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(stage(verified(rest, sets, similarity), "near-links"))
-    named = (texts.select("node", "digest", "id", "n").join(stage(components(links), "near-labels"), "node", "left")
+    named = (texts.select("node", "digest", "id").join(stage(components(links), "near-labels"), "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     names = named.groupBy("label").agg(F.min("id").alias("class_id"), F.min_by("digest", F.struct(
         F.col("id").isNull(), "id", "digest")).alias("class_digest"))
-    return stage(named.join(names, "label").select("digest", "n", "class_digest", "class_id"), "near-classes")
+    return stage(named.join(names, "label").select("digest", "class_digest", "class_id"), "near-classes")
 
 
-def _unjoined(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """(a, b), a > b: pairs in buckets with several classes, without pairs inside their largest class."""
+def _unjoined(shared: DataFrame, label: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a > b: pairs in buckets with several classes that may be similar, none inside a bucket's largest class."""
     known = shared.select("bucket", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = known.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = (sizes.groupBy("bucket").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("largest"))
                .where("labels > 1").drop("labels"))
-    mixed_buckets = stage(known.join(largest, "bucket"), "near-mixed")
-    few = mixed_buckets.where("label <> largest").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    every = mixed_buckets.select("bucket", F.col("node").alias("y"), F.col("label").alias("ly"))
-    return (few.join(every, "bucket").where("lx <> ly")
+    several = stage(known.join(largest, "bucket").join(sets.select("node", "n", "parity"), "node"), "near-mixed")
+    few = several.where("label <> largest").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"),
+                                                   F.col("n").alias("nx"), F.col("parity").alias("px"))
+    every = several.select(F.col("bucket").alias("same"), F.col("node").alias("y"), F.col("label").alias("ly"),
+                           F.col("n").alias("ny"), F.col("parity").alias("py"))
+    near = _near(F.col("nx"), F.col("ny"), F.col("px"), F.col("py"), similarity)
+    return (few.join(every, (F.col("bucket") == F.col("same")) & (F.col("lx") != F.col("ly")) & near)
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
@@ -286,19 +333,21 @@ def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: list
     is one.  ``keep`` names the columns to carry along (all by default); an input column
     named like the new ones gives way.
     """
-    rows = _classified(docs, classes(docs, id, text, **options), id, text, keep)
-    return unpacked(rows, "class_id", "representative", new=("class_id", "representative"))
-
-
-def _classified(docs: DataFrame, found: DataFrame, id: str, text: str, keep: list[str] | None = None) -> DataFrame:
+    found = classes(docs, id, text, **options)
     rows = packed(docs, keep, digest=F.md5(F.col(text)), id=F.col(id)).join(found, "digest", "left")
     first = F.col("digest").isNull() | ((F.col("digest") == F.col("class_digest")) & F.col("id").eqNullSafe(F.col("class_id")))
-    return (rows.withColumn("class_id", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("class_id")))
-            .withColumn("representative", first))
+    return unpacked(rows, F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+                    first.alias("representative"), new=("class_id", "representative"))
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each class, in the columns the documents came with; null texts all stay."""
-    rows = _classified(docs, classes(docs, id, text, **options), id, text).where("representative")
-    alone, copied = rows.where("n = 1 OR digest IS NULL"), rows.where("n > 1")
-    return unpacked(alone.select(ROW)).unionByName(unpacked(copied.dropDuplicates(["digest"]).select(ROW)))
+    """One row of each class, in the columns the documents came with; null texts all stay.
+
+    Joined on text and id, so the copies of one text are spread over the tasks; rows that
+    repeat both meet there and leave one.
+    """
+    found = classes(docs, id, text, **options)
+    first = found.where("digest = class_digest").select("digest", _key(F.col("class_id")).alias("key"))
+    rows = packed(docs, digest=F.md5(F.col(text)), key=_key(F.col(id)))
+    kept = rows.where("digest IS NOT NULL").join(first, ["digest", "key"]).dropDuplicates(["digest", "key"])
+    return unpacked(kept).unionByName(unpacked(rows.where("digest IS NULL")))
