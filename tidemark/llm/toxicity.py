@@ -68,10 +68,13 @@ def training_words(docs: DataFrame, labels: DataFrame, id: str, text: str, label
     """(grade, all, words, key) of the labelled sample; ``all`` is how many labels have the grade."""
     graded = (labels.where(F.col(label_id).isNotNull() & F.col(grade).isNotNull())
               .groupBy(F.col(label_id).alias("id")).agg(F.max(grade).cast("int").alias("grade")))
-    order = Window.partitionBy("grade").orderBy(shuffle_key(seed, F.col("id")))
-    first = graded.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_rows).drop("rank")
-    all_of = graded.groupBy("grade").agg(F.count("*").alias("all"))
-    sample = stage(first.join(all_of, "grade"), "toxicity-sample")
+    all_of = stage(graded.groupBy("grade").agg(F.count("*").alias("all")), "toxicity-grades")
+    # Only the share of each grade whose hashes are low enough to hold about twice the sample is ranked.
+    keyed = graded.join(all_of, "grade").withColumn("key", shuffle_key(seed, F.col("id")))
+    place = F.conv(F.substring("key", 1, 12), 16, 10).cast("double") / float(1 << 48)
+    order = Window.partitionBy("grade").orderBy("key")
+    first = keyed.where(place * F.col("all") < 2 * sample_rows).withColumn("rank", F.row_number().over(order))
+    sample = stage(first.where(F.col("rank") <= sample_rows).drop("rank", "key"), "toxicity-sample")
     # At most sample_rows ids per grade: small enough to send to every task.
     rows = (docs.where(F.col(text).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
             .join(F.broadcast(sample), "id").select("grade", "all", "text", F.xxhash64("id", "text").alias("key")))
