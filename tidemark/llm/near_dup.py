@@ -14,9 +14,9 @@ the components of the links.  The class id is the smallest document id of the cl
 * **Bands** of ``r`` coordinates are joined by key.  Texts of one bucket are not paired with
   one another: each is compared with the smallest of its bucket.  After that, in buckets that
   still hold several classes, members of all but the largest class meet members of other
-  classes, under an exact bound: the parities of a set's hashes in 512 bits differ between
+  classes, under an exact bound: the parities of a set's hashes in 2048 bits differ between
   two sets in no more bits than the sets differ in shingles.  Only pairs that the bound lets
-  through leave the join and are compared.  So every pair in a bucket is compared, ruled out
+  through leave the join, once each however many buckets they share, and are compared.  So every pair in a bucket is compared, ruled out
   by the bound, or lies in one class already, and a bucket of linked copies costs one
   comparison per member.
 * **Checks** compare whole shingle sets, so no link is wrong.  A pair at similarity 0.8 is
@@ -45,7 +45,7 @@ from tidemark.scratch import stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
-PARITY_WORDS = 8
+PARITY_WORDS = 32
 #: Texts, and about so many bytes of them, handled at once in a task; words remembered there.
 RUN_TEXTS, RUN_BYTES, MEMORY = 2048, 2_000_000, 1_000_000
 WORD = re.compile(r"[^\W_]+")
@@ -316,13 +316,16 @@ def _unjoined(shared: DataFrame, label: DataFrame, sets: DataFrame, similarity:
     sizes = known.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = (sizes.groupBy("bucket").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("largest"))
                .where("labels > 1").drop("labels"))
-    several = stage(known.join(largest, "bucket").join(sets.select("node", "n", "parity"), "node"), "near-mixed")
-    few = several.where("label <> largest").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"),
-                                                   F.col("n").alias("nx"), F.col("parity").alias("px"))
+    several = stage(known.join(largest, "bucket"), "near-mixed")
+    of_node = several.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    several = stage(several.join(of_node, "node").join(sets.select("node", "n", "parity"), "node"), "near-mixed")
+    few = several.where("label <> largest").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"),
+                                                   F.col("parity").alias("px"), F.col("buckets").alias("bx"))
     every = several.select(F.col("bucket").alias("same"), F.col("node").alias("y"), F.col("label").alias("ly"),
-                           F.col("n").alias("ny"), F.col("parity").alias("py"))
+                           F.col("n").alias("ny"), F.col("parity").alias("py"), F.col("buckets").alias("by"))
     near = _near(F.col("nx"), F.col("ny"), F.col("px"), F.col("py"), similarity)
-    return (few.join(every, (F.col("bucket") == F.col("same")) & (F.col("lx") != F.col("ly")) & near)
+    first = F.col("bucket") == F.array_min(F.array_intersect("bx", "by"))
+    return (few.join(every, (F.col("bucket") == F.col("same")) & (F.col("lx") != F.col("ly")) & near & first)
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
