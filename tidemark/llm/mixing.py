@@ -118,7 +118,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
                   .join(levels, "skey"), "mix-targets")
     queue = _queued(sized, ahead, most)
     first = ahead.select("budget").first()
-    cut = _cut(queue, first["budget"]) if first else None
+    # The places alone are written once, so that slicing them does not count words again.
+    places = stage(queue.select("skey", "key", "size", "finishes"), "mix-places") if first else None
+    cut = _cut(places, first["budget"]) if first else None
     place = [F.struct(F.col("finishes")[p].alias("finish"), "skey", "key") for p in range(most)]
     if cut is None:
         taken = [F.lit(1)] * most
