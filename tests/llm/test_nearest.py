@@ -53,3 +53,22 @@ def test_fewer_candidates_than_asked_for_and_none(spark):
     assert [tuple(r) for r in nn.nearest(df, df.where("vec_id = 0")).collect()] == [(0, 1, 1, math.sqrt(2))]
     assert nn.nearest(df.where("vec_id = 0"), df.where("vec_id = 0")).count() == 0
     assert nn.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_no_query_is_lost_when_rows_arrive_in_another_order_at_each_evaluation(spark):
+    rnd = np.random.default_rng(5)
+    data = [(i, [float(x) for x in rnd.normal(size=4)]) for i in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").coalesce(1)
+
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(batch.num_rows))
+
+    reuse = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = nn.nearest(df, df.mapInArrow(shuffled, df.schema), 3, query_block=16)
+        found = sorted(tuple(r)[:3] for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+    assert found == [w[:3] for w in brute(data, range(200), 3)]

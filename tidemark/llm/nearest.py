@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.scratch import stage
+
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 512
 BLOCK = "dims int, n int, ids binary, codes binary, scales binary, errors binary, vectors binary"
@@ -128,7 +130,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_
             candidate_block: int = CANDIDATE_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows of ``vectors`` to each query.
 
-    Counts the queries first (a job), to number their blocks.
+    Runs jobs: counts the queries, to number their blocks, and writes the blocks.  A shuffle may
+    deliver its rows in another order each time it is read, so the keys that send candidates to
+    blocks and the blocks themselves must come from one evaluation.
     """
     def ready(df: DataFrame) -> DataFrame:
         return df.select(F.col(id).cast("long").alias("id"), usable(F.col(vector)).alias("vector")).where(
@@ -136,8 +140,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id: str = "vec_
 
     asked = ready(queries)
     parts = max(1, -(-asked.count() // query_block))
-    asked_blocks = pack(asked.repartition(parts, F.xxhash64("id")), query_block).withColumn(
-        "part", F.expr("cast(pmod(xxhash64(ids), 1000000007) AS int)"))
+    dealt = asked.repartition(parts, F.xxhash64("id")).sortWithinPartitions("id")
+    asked_blocks = stage(pack(dealt, query_block).withColumn(
+        "part", F.expr("cast(pmod(xxhash64(ids), 1000000007) AS int)")), "query-blocks")
     keys = asked_blocks.select("part", "dims").distinct()
     blocks = pack(ready(vectors), candidate_block).join(keys, "dims")
     packs = [F.struct("dims", "n", "ids", "codes", "scales", "errors", "vectors")]
