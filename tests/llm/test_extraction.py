@@ -1,3 +1,8 @@
+import math
+import re
+from collections import Counter
+from xml.etree import ElementTree
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +62,63 @@ def test_a_site_of_copies_keeps_its_text(spark):
     assert {r["text"] for r in x.extract(df).collect()} == {"same"}
     tree = {r["path"]: r["importance"] for r in x.style_tree(df, "url", "html").collect()}
     assert tree["/div.q"] == pytest.approx(0) and x.extract(df.limit(0)).count() == 0
+
+
+def articles(n):
+    page = ('<html><body><nav>menu</nav><article><h1>Title {0}</h1><div class="k3"><b>Follow</b> us</div><p>text {0}</p>{1}'
+            '<div class="k4"><p>By {2}</p><ul><li>Sign up</li></ul></div></article></body></html>')
+    return [(i, f"http://d.example/{i}", page.format(i, f"<p>more {i}</p>" * (i % 4), "an author")) for i in range(n)]
+
+
+def test_template_branches_inside_an_article_go(spark):
+    df = spark.createDataFrame(articles(30), "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in x.extract(df).collect()}
+    assert got == {i: "\n\n".join([f"Title {i}", f"text {i}"] + [f"more {i}"] * (i % 4)) for i in range(30)}
+
+
+def brute_tree(sources):
+    """{path: (seen, presentation, content, importance)} of well-formed pages of one site, from another parser."""
+    layouts, holders, children = {}, {}, {}
+
+    def name(e):
+        return e.tag + "".join("." + c for c in sorted((e.get("class") or "").split()))
+
+    def contents(e):
+        found = {" ".join(e.text.split())} if e.text and e.text.strip() else set()
+        for c in e:
+            found |= contents(c) | ({(c.tag, c.get("href"))} if c.get("href") else set())
+            found |= {" ".join(c.tail.split())} if c.tail and c.tail.strip() else set()
+        return found
+
+    def visit(e, above, judged):
+        path = above + "/" + name(e)
+        if judged and e.tag in x.BLOCK:
+            layouts.setdefault(path, []).append(tuple(name(c) for c in e))
+            holders.setdefault(path, []).append(contents(e))
+            children.setdefault(path, []).append(len(e))
+        for c in e:
+            visit(c, path, True)
+
+    for source in sources:
+        page = ElementTree.fromstring(source)
+        article = page.find(".//article")
+        visit(page if article is None else article, "", article is None)
+    tree = {}
+    for path, styles in layouts.items():
+        m = len(styles)
+        presentation = 1.0 if m == 1 else -sum(n / m * math.log(n / m, m) for n in Counter(styles).values())
+        counts = Counter(c for held in holders[path] for c in held)
+        content = 0.0 if not counts else 1.0 if m == 1 else 1 - sum(math.log(n, m) for n in counts.values()) / len(counts)
+        share = x.GAMMA ** (sum(children[path]) / m)
+        tree[path] = (m, presentation, content, (1 - share) * presentation + share * content)
+    return tree
+
+
+@pytest.mark.parametrize("pages", [site(30), articles(30), site(1), articles(7) + site(7)])
+def test_the_tree_is_that_of_brute_force(spark, pages):
+    df = spark.createDataFrame([("s", h) for _, _, h in pages], "site string, html string")
+    got = {r["path"]: tuple(r)[2:] for r in x.style_tree(df, "site", "html").collect()}
+    want = brute_tree(re.sub("<nav>.*?</nav>", "", h) for _, _, h in pages)
+    assert want.keys() == got.keys()
+    for path in want:
+        assert got[path] == pytest.approx(want[path], abs=1e-9), path

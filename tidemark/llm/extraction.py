@@ -16,7 +16,9 @@ A branch below ``threshold`` is template and is removed from every page of the h
 What HTML itself says comes first, since a host with few pages gives no evidence: navigation,
 page headers, footers, asides, forms, scripts, styles and hidden parts go, as do elements
 whose class, id or role names a menu, advert, notice, share bar or reader comments; ``main``,
-or else ``article``, holds the main text where a page has one.  The tree decides on the rest.
+or else ``article``, holds the main text where a page has one.  The tree decides on what is left:
+on the branches inside these, or on the whole page where it has neither; ``main`` and ``article``
+themselves stay.
 
 The text keeps all other blocks in page order: character references decoded, white space in
 a block turned into one space, blocks joined by an empty line.  Nothing is cut.  Pages are
@@ -227,7 +229,7 @@ def _path_name(node: Node) -> str:
 
 
 def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
-    """The blocks of main text; undecided branches whose path is in ``template`` go."""
+    """The blocks of main text; branches whose path is in ``template`` go, but not the roots."""
     blocks: list[str] = []
     buffer: list[str] = []
 
@@ -238,9 +240,7 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
             if block:
                 blocks.append(block)
 
-    roots = main_roots(root)
-    decided = roots != [root]
-    for top in roots:
+    for top in main_roots(root):
         stack: list = [(top, "", 0)]
         while stack:
             item = stack.pop()
@@ -255,9 +255,9 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
                 if node.tag in BLOCK:
                     flush()
                 continue
-            if not decided and template and node.tag:
+            if template and node.tag:
                 path = path + "/" + _path_name(node) if depth <= DEPTH else path
-                if path in template:
+                if node is not top and path in template:
                     flush()
                     continue
             if node.tag == "br":
@@ -273,10 +273,9 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
 
 def observations(root: Node) -> Iterator[tuple[str, int, int, list[int]]]:
     """(path, presentation, children, contents) of each element that HTML does not decide on."""
-    if main_roots(root) != [root]:
-        return
+    roots = main_roots(root)
     seen: list[tuple[str, Node, set[int]]] = []
-    stack: list = [(root, "", 0, ())]
+    stack: list = [(top, "", 0, ()) for top in reversed(roots)]
     while stack:
         node, path, depth, above = stack.pop()
         if isinstance(node, str):
@@ -287,7 +286,7 @@ def observations(root: Node) -> Iterator[tuple[str, int, int, list[int]]]:
             continue
         if node.noise:
             continue
-        if node.tag and node.tag in BLOCK and depth <= DEPTH:
+        if node.tag and node.tag in BLOCK and depth <= DEPTH and depth > 0:
             path = path + "/" + _path_name(node)
             contents: set[int] = set()
             seen.append((path, node, contents))
