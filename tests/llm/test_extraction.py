@@ -122,3 +122,36 @@ def test_the_tree_is_that_of_brute_force(spark, pages):
     assert want.keys() == got.keys()
     for path in want:
         assert got[path] == pytest.approx(want[path], abs=1e-9), path
+
+
+@pytest.mark.parametrize("html, want", [
+    *[(f"<nav>n</nav><p>Skip</p><div class='{c}'><article><p>main text</p></article><div class=sidebar>s</div></div><footer>f</footer>", "main text")
+      for c in ("page-with-sidebar", "layout-sidebar-right", "search-results-page", "comments-open")],
+    ("<body><form action=x><nav>n</nav><article><h1>T</h1><p>text</p><form>f</form></article></form></body>", "T\n\ntext"),
+    ("<body><form action=x><div><p>all of the page</p></div><div class=ad>ad</div></form></body>", "all of the page"),
+    ("<div class=widget-area><form><p>two wrappers</p></form></div>", "two wrappers"),
+    ("<p>Much text outside of it</p><div class=layout-sidebar><main>m</main></div>", "m"),
+    ("<main><h1>T</h1><div class=page-with-sidebar><article>main text</article></div></main>", "T\n\nmain text"),
+    ("<div class=page-with-sidebar><article>main text</article><div class=related><article>one</article></div></div>", "main text"),
+    ("<article>teaser</article><div class=layout-sidebar-right><article>the long text of this page</article></div>",
+     "teaser\n\nthe long text of this page"),
+    ("<article>main text</article><div class=comments><article>c1</article><article>c2</article></div>", "main text"),
+    ("<div><p>a page's own text</p></div><div class=related-posts><article>one</article><article>two</article></div>", "a page's own text"),
+    ("<div class=page-with-sidebar><article class=comment>c</article><p>p</p></div>", "p"),
+    ("<nav><article>n</article></nav><aside><main>a</main></aside><footer><form>f</form></footer>", ""),
+])
+def test_wrappers_with_names_of_noise(html, want):
+    assert text(html) == want
+
+
+def test_many_nested_wrappers():
+    assert text("<form>a" * 5_000 + "<article>" + "long " * 2_000 + "</article>") == ("long " * 2_000).strip()
+
+
+def test_the_tree_judges_what_a_wrapper_held(spark):
+    page = '<body><form id="aspnet"><div class="x9">Welcome to all</div><div class="c7"><p>unique {}</p></div></form></body>'
+    shell = '<body><div class="cookie">We use cookies</div></body>'
+    df = spark.createDataFrame([(i, "http://e.example/", page.format(i)) for i in range(20)]
+                               + [(100 + i, "http://f.example/", shell) for i in range(20)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in x.extract(df).collect()}
+    assert got == {**{i: f"unique {i}" for i in range(20)}, **{100 + i: "" for i in range(20)}}

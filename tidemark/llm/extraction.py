@@ -20,6 +20,13 @@ or else ``article``, holds the main text where a page has one.  The tree decides
 on the branches inside these, or on the whole page where it has neither; ``main`` and ``article``
 themselves stay.
 
+A word in a class or id, and a form, may also stand for a wrapper of the whole page
+(``page-with-sidebar``, ``search-results-page``).  Such an element is opened, that is, taken for
+a plain one, if it holds the page's ``main``, or articles with more text than all that lies
+outside such elements (where an article lies outside, one article with more text than that); and
+where nothing else of a page has text, the outermost with text are.  The tree judges opened
+branches like others.
+
 The text keeps all other blocks in page order: character references decoded, white space in
 a block turned into one space, blocks joined by an empty line.  Nothing is cut.  Pages are
 parsed in Python in two passes; counts of the tree are Spark aggregations keyed by host,
@@ -28,7 +35,7 @@ path and content, so a host with a third of all pages is spread over its content
 Null and empty pages have an empty text.  Null urls, and urls without host, form one site.
 Pages left open or broken in a tag are closed at their end.  Repeated pages count again in
 the tree and get equal texts.  Where the tree would leave nothing of a page (a host of copies),
-the page keeps all that HTML does not rule out.
+the page keeps all that HTML does not rule out; with nothing outside opened elements, it is empty.
 """
 
 from __future__ import annotations
@@ -78,16 +85,20 @@ NOISE_WORDS = frozenset("nav navbar navigation navi menu submenu footer sidebar
                         "comment comments respond disqus widget widgets toolbar topbar masthead login search skip".split())
 NEGATED = frozenset("has with no without".split())
 PAGE_HEADER = frozenset(["header"])
+#: Noise that may be a wrapper of the page, and noise that may not.
+SOFT, HARD = 1, 2
+SOFT_ROLES = frozenset("form search".split())
 KEPT = frozenset("html body main".split())
 #: An outermost article is only ruled out by what cannot be said of a page's own article.
 NOT_ARTICLE = frozenset("comment comments ad ads advert advertisement sponsored related recommended promo".split())
 
 
 class Node:
-    __slots__ = ("tag", "name", "parent", "children", "noise")
+    __slots__ = ("tag", "name", "parent", "children", "noise", "opened")
 
-    def __init__(self, tag: str, name: str, parent: Node | None, noise: bool) -> None:
+    def __init__(self, tag: str, name: str, parent: Node | None, noise: int) -> None:
         self.tag, self.name, self.parent, self.noise = tag, name, parent, noise
+        self.opened = False
         self.children: list[Node | str] = []
 
 
@@ -98,30 +109,32 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _is_noise(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether HTML itself marks the element as no part of a main text."""
-    if tag in NOISE_TAGS or (tag == "header" and not in_article):
-        return True
+def _noise(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """How far HTML itself marks the element as no part of a main text: 0, ``SOFT`` or ``HARD``."""
+    soft = SOFT if tag == "form" else 0
+    if (tag in NOISE_TAGS and not soft) or (tag == "header" and not in_article):
+        return HARD
     if not attributes or tag in KEPT:
-        return False
+        return soft
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
+        return HARD
     if attributes.get("style") and "display:none" in attributes["style"].replace(" ", "").lower():
-        return True
-    if attributes.get("role", "").lower() in NOISE_ROLES:
-        return True
+        return HARD
+    role = attributes.get("role", "").lower()
+    if role in NOISE_ROLES:
+        return SOFT if role in SOFT_ROLES else HARD
     noise = NOT_ARTICLE if tag == "article" and not in_article else NOISE_WORDS
     for name in attributes.get("class", "").split() + attributes.get("id", "").split():
         words = [w.lower() for w in NAME_PART.findall(name)]
         if words and words[0] not in NEGATED and any(
                 w in noise or (w in PAGE_HEADER and not in_article) for w in words):
-            return True
-    return False
+            return HARD if tag == "article" else SOFT
+    return soft
 
 
 def parse(html: str) -> Node:
     """The element tree, with tags left open closed as browsers do."""
-    root = Node("", "", None, False)
+    root = Node("", "", None, 0)
     here, open_tags = root, {}
     at, end = 0, len(html)
 
@@ -180,7 +193,7 @@ def parse(html: str) -> Node:
         name = tag
         if attributes.get("class"):
             name += "." + ".".join(sorted(attributes["class"].split()))
-        node = Node(tag, name, here, _is_noise(tag, attributes, in_article))
+        node = Node(tag, name, here, _noise(tag, attributes, in_article))
         here.children.append(node)
         if tag == "a" and "href" in attributes:
             node.name = name + "@" + attributes["href"]
@@ -195,6 +208,7 @@ def parse(html: str) -> Node:
             here = node
     if at < end:
         here.children.append(html[at:end])
+    _open_wrappers(root)
     return root
 
 
@@ -224,6 +238,92 @@ def main_roots(root: Node) -> list[Node]:
     return outer or [root]
 
 
+def _text_size(tops: list[Node]) -> int:
+    """Characters of text outside noise."""
+    size, stack = 0, list(tops)
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            size += len(node.strip())
+        elif not node.noise:
+            stack.extend(node.children)
+    return size
+
+
+def _soft_within(tops: list[Node]) -> list[Node]:
+    """The outermost soft noise."""
+    found, stack = [], list(tops)
+    while stack:
+        node = stack.pop()
+        if node.noise == SOFT:
+            found.append(node)
+        elif not node.noise:
+            stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    return found
+
+
+def _wrapped(tops: list[Node]) -> tuple[bool, list[tuple[Node, list[Node]]]]:
+    """Whether an article lies outside noise, and (node, soft noise round it from the outside) of others and of ``main``."""
+    clear, found = False, []
+    stack: list = [(top, None) for top in reversed(tops)]
+    while stack:
+        node, around = stack.pop()
+        if node.noise == HARD:
+            continue
+        if node.noise == SOFT:
+            around = (node, around)
+        elif node.tag == "article" or (node.tag == "main" and around):
+            if not around:
+                clear = True
+                continue
+            chain = []
+            while around:
+                chain.append(around[0])
+                around = around[1]
+            found.append((node, chain[::-1]))
+            continue
+        stack.extend((c, around) for c in reversed(node.children) if not isinstance(c, str))
+    return clear, found
+
+
+def _open(wrappers: list[Node]) -> None:
+    """Takes the elements for plain ones, and those next inside as long as no text has come out."""
+    while wrappers:
+        for node in wrappers:
+            node.noise, node.opened = 0, True
+        if _text_size(wrappers):
+            return
+        wrappers = _soft_within(wrappers)
+
+
+def _open_wrappers(root: Node) -> None:
+    """Opens the soft noise that wraps the page's main text, see above."""
+    levels = 1
+    while True:
+        roots = main_roots(root)
+        has_main = roots[0].tag == "main"
+        clear, found = _wrapped(roots if has_main else [root])
+        mains = [f for f in found if f[0].tag == "main"]
+        if mains and not has_main:
+            found = mains
+        elif found:
+            sizes = [_text_size([node]) for node, _ in found]
+            outside = _text_size(roots)
+            if clear:
+                found = [f for f, size in zip(found, sizes) if size > outside and size == max(sizes)]
+            elif sum(sizes) <= outside:
+                found = []
+        if not found:
+            break
+        # Step by step, so that boxes within a wrapper are judged by what it holds outside them.
+        for node in {n: None for _, chain in found for n in chain[:levels]}:
+            node.noise, node.opened = 0, True
+        levels *= 2
+    if not _text_size(roots):
+        _open(_soft_within(roots))
+        root.opened = True
+
+
 def _path_name(node: Node) -> str:
     return node.name.split("@")[0]
 
@@ -355,7 +455,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", threshold: f
                 texts = []
                 for source, template in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     tree = parse(source or "")
-                    texts.append((template and text_of(tree, frozenset(template))) or text_of(tree))
+                    text = text_of(tree, frozenset(template or ()))
+                    texts.append(text if text or tree.opened else text_of(tree))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["_row", "text"])
 
     found = rows.mapInArrow(run, f"_row {row_type}, text string")
