@@ -155,3 +155,31 @@ def test_the_tree_judges_what_a_wrapper_held(spark):
                                + [(100 + i, "http://f.example/", shell) for i in range(20)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in x.extract(df).collect()}
     assert got == {**{i: f"unique {i}" for i in range(20)}, **{100 + i: "" for i in range(20)}}
+
+
+def deep(n, levels):
+    """Pages with a menu and a text far down, and a text of the page's own further down still."""
+    box = '<div class="w">' * levels
+    page = box + '<div class="m4">Home and more</div><p>unique {0}</p>' + box + "<p>far {0}</p>" + "</div>" * (2 * levels)
+    return [(i, "http://g.example/", page.format(i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("levels", [5, 15, 100, 300])
+def test_template_branches_go_at_any_depth(spark, levels):
+    df = spark.createDataFrame(deep(20, levels), "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in x.extract(df).collect()} == {i: f"unique {i}\n\nfar {i}" for i in range(20)}
+
+
+def test_observations_of_deep_pages_are_bounded():
+    nested = x.parse("".join(f"<div>{i}" for i in range(5_000)))
+    found = list(x.observations(nested))
+    assert len(found) == 5_000 and len({path for path, *_ in found}) == 5_000 and max(len(path) for path, *_ in found) <= x.PATH
+    assert sum(len(contents) for *_, contents in found) <= 5_000 * (2 * x.NEAR + 1)
+
+
+def test_the_tree_of_deep_pages_is_that_of_brute_force(spark):
+    pages = deep(12, 20)
+    df = spark.createDataFrame([("s", h) for _, _, h in pages], "site string, html string")
+    got = sorted(tuple(r)[1:] for r in x.style_tree(df, "site", "html").drop("path").collect())
+    want = sorted(brute_tree(h for _, _, h in pages).values())
+    assert len(got) == len(want) and [v for t in got for v in t] == pytest.approx([v for t in want for v in t], abs=1e-9)

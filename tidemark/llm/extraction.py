@@ -13,6 +13,11 @@ merged into a node,
 
 A branch below ``threshold`` is template and is removed from every page of the host.
 
+Elements at any depth are nodes; long paths are carried as a running hash.  A text or link counts
+for all elements round it that are among the outer 64 levels of blocks or at most 64 levels
+above it.  To the others further up the block 64 levels below them counts as one content, so the
+work on a page grows with its length and not with its length times its depth.
+
 What HTML itself says comes first, since a host with few pages gives no evidence: navigation,
 page headers, footers, asides, forms, scripts, styles and hidden parts go, as do elements
 whose class, id or role names a menu, advert, notice, share bar or reader comments; ``main``,
@@ -52,7 +57,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import packed, unpacked
 from tidemark.scratch import stage
 
-GAMMA, THRESHOLD, MIN_SEEN, DEPTH = 0.9, 0.3, 5, 12
+GAMMA, THRESHOLD, MIN_SEEN = 0.9, 0.3, 5
+#: Paths longer than this go on from a hash of what they were; blocks this far apart meet by a hash, see above.
+PATH, NEAR = 200, 64
+#: Contents handed on at once by a task.
+HELD = 500_000
 NEW = ("text", "n_chars")
 
 TOKEN = re.compile(
@@ -328,6 +337,11 @@ def _path_name(node: Node) -> str:
     return node.name.split("@")[0]
 
 
+def _below(path: str, node: Node) -> str:
+    path = path + "/" + _path_name(node)
+    return path if len(path) <= PATH else "#" + xxhash.xxh3_128_hexdigest(path)
+
+
 def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
     """The blocks of main text; branches whose path is in ``template`` go, but not the roots."""
     blocks: list[str] = []
@@ -341,13 +355,13 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
                 blocks.append(block)
 
     for top in main_roots(root):
-        stack: list = [(top, "", 0)]
+        stack: list = [(top, "")]
         while stack:
             item = stack.pop()
             if item is None:
                 flush()
                 continue
-            node, path, depth = item
+            node, path = item
             if isinstance(node, str):
                 buffer.append(node)
                 continue
@@ -356,7 +370,7 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
                     flush()
                 continue
             if template and node.tag:
-                path = path + "/" + _path_name(node) if depth <= DEPTH else path
+                path = _below(path, node)
                 if node is not top and path in template:
                     flush()
                     continue
@@ -366,38 +380,52 @@ def text_of(root: Node, template: frozenset[str] = frozenset()) -> str:
             if node.tag in BLOCK:
                 flush()
                 stack.append(None)
-            stack.extend((c, path, depth + 1) for c in reversed(node.children))
+            stack.extend((c, path) for c in reversed(node.children))
         flush()
     return "\n\n".join(blocks)
 
 
+PRIME, BASE = 2 ** 61 - 1, 1_000_003_579
+
+
 def observations(root: Node) -> Iterator[tuple[str, int, int, list[int]]]:
     """(path, presentation, children, contents) of each element that HTML does not decide on."""
-    roots = main_roots(root)
     seen: list[tuple[str, Node, set[int]]] = []
-    stack: list = [(top, "", 0, ()) for top in reversed(roots)]
+    chain: list[set[int]] = []  # contents of the blocks now open, the outermost first
+    total = n = 0               # a rolling hash of all contents, for those of a block as one
+
+    def hold(content: int) -> None:
+        nonlocal total, n
+        total, n = (total * BASE + content) % PRIME, n + 1
+        for contents in chain if len(chain) <= 2 * NEAR else chain[:NEAR] + chain[-NEAR:]:
+            contents.add(content)
+
+    roots = main_roots(root)
+    tops = frozenset(roots)
+    stack: list = [(top, "") for top in reversed(roots)]
     while stack:
-        node, path, depth, above = stack.pop()
+        node, path = stack.pop()
+        if node is None:
+            chain.pop()
+            before, had = path
+            if len(chain) >= 2 * NEAR and n > had:
+                chain[-NEAR].add((total - before * pow(BASE, n - had, PRIME)) % PRIME)
+            continue
         if isinstance(node, str):
             if not node.isspace():
-                content = xxhash.xxh3_64_intdigest(" ".join(unescape(node).split())) >> 1
-                for contents in above:
-                    contents.add(content)
+                hold(xxhash.xxh3_64_intdigest(" ".join(unescape(node).split())) >> 1)
             continue
         if node.noise:
             continue
-        if node.tag and node.tag in BLOCK and depth <= DEPTH and depth > 0:
-            path = path + "/" + _path_name(node)
-            contents: set[int] = set()
-            seen.append((path, node, contents))
-            above = (*above, contents)
-        elif node.tag and depth <= DEPTH:
-            path = path + "/" + _path_name(node)
+        if node.tag:
+            path = _below(path, node)
+            if node.tag in BLOCK and node not in tops:
+                chain.append(set())
+                seen.append((path, node, chain[-1]))
+                stack.append((None, (total, n)))
         if "@" in node.name:
-            link = xxhash.xxh3_64_intdigest(node.name) >> 1
-            for contents in above:
-                contents.add(link)
-        stack.extend((c, path, depth + 1, above) for c in reversed(node.children))
+            hold(xxhash.xxh3_64_intdigest(node.name) >> 1)
+        stack.extend((c, path) for c in reversed(node.children))
     for path, node, contents in seen:
         children = [c.name.split("@")[0] for c in node.children if not isinstance(c, str)]
         yield path, xxhash.xxh3_64_intdigest(" ".join(children)) >> 1, len(children), sorted(contents)
@@ -408,13 +436,22 @@ def style_tree(pages: DataFrame, site: str, html: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("site", pa.string()), ("path", pa.string()), ("style", pa.int64()), ("children", pa.int32()),
                             ("contents", pa.list_(pa.int64()))])
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * len(schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                rows = [(s, *o) for s, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
-                        for o in observations(parse(h or ""))]
-                columns = list(zip(*rows)) or [()] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                part, rows, held = batch.slice(start, 200), [], 0
+                for s, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    for o in observations(parse(h or "")):
+                        rows.append((s, *o))
+                        held += len(o[3]) + 1
+                        if held >= HELD:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                yield batch_of(rows)
 
     seen = stage(pages.select(site, html).mapInArrow(run, "site string, path string, style long, children int, contents array<long>"), "style-tree")
     node = ["site", "path"]
