@@ -48,3 +48,26 @@ def test_propagation_is_that_of_plain_python(spark):
             out[t] = out.get(t, 0) + 0.85 * score.get(s, 0) * n / sum(e[2] for e in edges if e[0] == s)
         score = out
     assert got == pytest.approx({h: v for h, v in score.items() if v}, rel=1e-3)
+
+
+def test_distrust_reaches_hosts_many_links_away(spark):
+    pages = [("http://hub.com/", link(*[f"b{i}.net" for i in range(50)])), ("http://h1.com/", link("hub.com"))]
+    pages += [(f"http://h{i}.com/", link(f"h{i - 1}.com")) for i in range(2, 26)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").coalesce(1)
+    assert {r["host"]: r["verdict"] for r in u.judge(df, URL_RULES).collect()} == {
+        "hub.com": "block", **{f"h{i}.com": "block" for i in range(1, 26)}}
+
+
+def test_scores_on_cycles_are_within_the_tolerance(spark):
+    edges = [("a", "b", 1), ("b", "a", 3)] + [(f"s{i}", "a", 1) for i in range(100)]
+    got = {r["host"]: r["score"] for r in u.propagate(
+        spark.createDataFrame(edges, "src string, dst string, links long").coalesce(1),
+        spark.createDataFrame([(f"s{i}",) for i in range(100)], "host string").coalesce(1), damping=0.5).collect()}
+    a = 50 / (1 - 0.5 ** 2)
+    assert got["a"] == pytest.approx(a, abs=1e-4) and got["b"] == pytest.approx(0.5 * a, abs=1e-4) and got["s0"] == 1
+
+
+def test_damping_must_damp(spark):
+    none = spark.createDataFrame([], "src string, dst string, links long")
+    with pytest.raises(ValueError):
+        u.propagate(none, none.selectExpr("src AS host"), damping=1.0)

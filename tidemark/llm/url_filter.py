@@ -22,6 +22,7 @@ seeds) every page without a rule is allowed.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -75,28 +76,38 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.where("src <> dst AND src <> ''").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20,
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None,
               tolerance: float = 1e-4) -> DataFrame:
     """(host, score): personalised PageRank along ``edges`` (src, dst, links) from ``seeds`` (host).
 
     Each seed starts and restarts with 1 (the usual ranks over ``1 - damping``), so scores are
-    in units of one seed.  What reaches a host without links out ends there.  Rounds stop when all scores together move by less
-    than ``tolerance`` per seed.
+    in units of one seed.  What reaches a host without links out ends there.
+
+    Rounds go on until no score can be further than ``tolerance`` from its limit: if all scores
+    together moved by ``m``, all later rounds move them by ``m * damping / (1 - damping)`` at most.
+    Damping brings that about in 67 rounds for one seed and 110 for a thousand; ten rounds past
+    what it needs at most, it raises.  ``rounds`` asks for so many at most, whatever the tolerance.
     """
+    if not 0 < damping < 1:
+        raise ValueError("damping lies between 0 and 1")
+    rest = damping / (1 - damping)
     out = edges.groupBy("src").agg(F.sum("links").alias("all"))
     shares = stage(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("share")), "link-shares")
     start = seeds.select("host", F.lit(1.0).alias("score"))
     scores = stage(start, "host-scores")
     n = max(1, scores.count())
-    for _ in range(rounds):
+    needed = max(1, math.ceil(math.log(tolerance / rest / n) / math.log(damping))) + 10
+    for _ in range(needed if rounds is None else rounds):
         flow = (shares.join(scores, shares["src"] == scores["host"])
                 .groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("share") * damping).alias("score")))
         after = stage(flow.unionByName(start).groupBy("host").agg(F.sum("score").alias("score")), "host-scores")
         moved = (after.alias("a").join(scores.alias("b"), "host", "full")
                  .agg(F.sum(F.abs(F.coalesce("a.score", F.lit(0.0)) - F.coalesce("b.score", F.lit(0.0))))).first()[0])
         scores = after
-        if (moved or 0) < tolerance * n:
-            break
+        if (moved or 0) * rest < tolerance:
+            return scores
+    if rounds is None:
+        raise RuntimeError(f"scores still move by {moved} after {needed} rounds")
     return scores
 
 
