@@ -120,3 +120,9 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(149, 150), (7, 7)]
     got = dict(tuple(r) for r in nd.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 151)}
+
+
+def test_components_that_do_not_settle_raise(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").coalesce(1)
+    with pytest.raises(RuntimeError, match="after 2 rounds"):
+        nd.components(path, rounds=2)

@@ -248,7 +248,10 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node of each component of ``edges`` (a, b)."""
+    """(node, label): the smallest node of each component of ``edges`` (a, b).
+
+    Runs rounds until nothing changes, and raises if ``rounds`` of them are not enough.
+    """
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     before = None
     for _ in range(rounds):
@@ -264,6 +267,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
