@@ -26,5 +26,5 @@ def test_empty_tables_give_no_rows(spark, sf_dir, folder, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()

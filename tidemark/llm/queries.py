@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, extraction, language_id, mixing, near_dup, nearest, sharding, sql, toxicity, url_filter, warc
+from tidemark.llm import (decontaminate, extraction, language_id, mixing, near_dup, nearest, phrases, sharding, shallot, sql, toxicity,
+                          url_filter, warc, winnowing)
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path
 
@@ -96,3 +97,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All page urls judged by rules, else by the links between hosts."""
     judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@book.query("LLM-11")
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints of all documents and of their edits, and how alike neighbours are."""
+    found = winnowing.neighbours(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_chars", "edited_sha256", winnowing.fingerprint_text(F.col("marks")).alias("fingerprint"),
+                        winnowing.fingerprint_text(F.col("edited_marks")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@book.query("LLM-12", sql.CLUSTERS)
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 8 clusters after 10 rounds."""
+    return shallot.clusters(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@book.query("LLM-13", sql.COLLOCATIONS)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words per language."""
+    return phrases.collocations(read(spark, sf_dir, "documents").select("text", "lang"))

@@ -114,3 +114,60 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+_CLUSTER_ROUNDS = 10
+_DISTANCE = "list_sum([(v[i] - c[i]) * (v[i] - c[i]) FOR i IN range(1, 65)])::BIGINT"
+
+
+def _assigned(round: int) -> str:
+    return f"""assigned{round} AS MATERIALIZED (
+    SELECT row, first(k ORDER BY d, k) AS k, min(d) AS d
+    FROM (SELECT row, k, {_DISTANCE} AS d FROM kept, centroids{round}) GROUP BY row)"""
+
+
+def _centroids(round: int) -> str:
+    return f"""centroids{round} AS MATERIALIZED (
+    SELECT k, coalesce(m.c, old.c) AS c FROM centroids{round - 1} old LEFT JOIN (
+        SELECT k, list(mean ORDER BY i) AS c FROM (
+            SELECT k, i, ((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+            FROM assigned{round - 1} JOIN kept USING (row), range(1, 65) r(i) GROUP BY k, i) GROUP BY k) m USING (k))"""
+
+
+CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v)::INTEGER - 1 AS k, v AS c
+    FROM kept ORDER BY k LIMIT 8),
+{", ".join(f"{_assigned(i)}, {_centroids(i + 1)}" for i in range(_CLUSTER_ROUNDS))},
+{_assigned(_CLUSTER_ROUNDS)}
+SELECT vec_id, k AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM assigned{_CLUSTER_ROUNDS} JOIN kept USING (row) JOIN centroids{_CLUSTER_ROUNDS} USING (k)
+"""
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, m, unnest([array_to_string(w[i + 1:i + m], ' ') FOR i IN range(len(w) - m + 1)]) AS phrase
+    FROM words, range(1, 4) r(m) WHERE len(w) >= m),
+counts AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 10),
+around AS (
+    SELECT lang, phrase, max(a) AS most FROM (
+        SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE m = 3)
+    GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN around USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 50::HUGEINT * a),
+cuts AS (
+    SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+    JOIN counts l ON l.lang = c.lang AND l.m = k AND l.phrase = array_to_string(w[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.m = c.m - k AND r.phrase = array_to_string(w[k + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
