@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ from tidemark.scratch import stage
 
 UNIT = 8 << 20
 BITS = 27
+ROOM = 32
 SHARE = 0.125
 SALTS = 64
 STOP = b"\xff"                                  # in no UTF-8 text
@@ -173,12 +175,10 @@ def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterat
         yield one, STOP.join(texts), b""
 
 
-def _counted(texts: DataFrame, passes: list[Pass], longest: int, least: int, unit: int) -> DataFrame:
-    """The frequent phrases among those that the last of ``passes`` is the first to count."""
-    shared = texts.sparkSession.sparkContext.broadcast([p.sets for p in passes])
-
+def _counted(texts: DataFrame, passes: list[dict[int, Broadcast | None]], longest: int, least: int, unit: int) -> DataFrame:
+    """The frequent phrases among those that the last of ``passes`` (bit sets by number of words) is the first to count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [Pass(sets) for sets in shared.value]
+        known = [Pass({m: None if shared is None else shared.value for m, shared in sets.items()}) for sets in passes]
         with np.errstate(over="ignore"):
             for lang, text, ahead in _units(batches, unit, longest):
                 for words, phrases, counts in counts_of(lang, text, ahead, longest, known):
@@ -210,8 +210,15 @@ def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
-def bit_set(phrases: DataFrame, words: int, bits: int) -> np.ndarray:
-    """The phrases of so many words as a bit set of ``2**bits`` bits (runs a job); its size is all the driver gets."""
+def bit_set(phrases: DataFrame, words: int, bits: int) -> Broadcast:
+    """The phrases of so many words as a bit set (runs two jobs).
+
+    It has ``ROOM`` bits a phrase, rounded up to a power of two, and never more than
+    ``2**bits`` in all.  That size is all the driver and the tasks get.
+    """
+    rows = phrases.where(F.col("words") == words).select("lang", "phrase")
+    bits = max(6, min(bits, (rows.count() * ROOM).bit_length()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64((1 << bits) - 1)
         for batch in batches:
@@ -224,17 +231,14 @@ def bit_set(phrases: DataFrame, words: int, bits: int) -> np.ndarray:
                 np.bitwise_or.at(values, owner, np.uint64(1) << (places & np.uint64(63)))
                 yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(values.view(np.int64))], ["slot", "bits"])
 
-    found = (phrases.where(F.col("words") == words).select("lang", "phrase").mapInArrow(run, "slot long, bits long")
-             .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow())
+    found = rows.mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
+    return phrases.sparkSession.sparkContext.broadcast(out)
 
 
-def _outside(phrases: DataFrame, words: int, bits: np.ndarray) -> bool:
+def _outside(phrases: DataFrame, words: int, shared: Broadcast) -> bool:
     """Whether a phrase of so many words is not in the bit set (runs a job)."""
-    shared = phrases.sparkSession.sparkContext.broadcast(bits)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -256,15 +260,15 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shorter = range(1, longest)
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    everything = Pass(dict.fromkeys(shorter))
+    everything = dict.fromkeys(shorter)
     proposed = stage(_counted(sample, [everything], longest, max(1, int(least * share)), unit), "phrases-proposed")
-    passes, found = [Pass({m: bit_set(proposed, m, bits) for m in shorter})], None
+    passes, found = [{m: bit_set(proposed, m, bits) for m in shorter}], None
     while True:
         new = stage(_counted(texts, passes, longest, least, unit), "phrases-counted")
         found = new if found is None else found.unionByName(new)
-        if not any(_outside(new, m, passes[-1].sets[m]) for m in shorter):
+        if not any(_outside(new, m, passes[-1][m]) for m in shorter):
             return found
-        passes.append(Pass({m: bit_set(found, m, bits) for m in shorter}))
+        passes.append({m: bit_set(found, m, bits) for m in shorter})
 
 
 def _joined(words: Column) -> Column:
