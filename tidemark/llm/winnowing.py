@@ -14,8 +14,8 @@ the length of a text, not its square.
 
 ``neighbours`` compares every document with the next one by descending id (null ids last,
 texts under one id by their hash; after the last comes the first) and with an edit of it.
-Documents are dealt into slices of the id order of about ``SLICE_BYTES`` of text, and the first
-document of a slice travels to the slice before as well.  Repeated rows (one id, one text) are
+Documents are dealt into slices of the id order of about ``SLICE_BYTES`` of text, several to a task
+so that tasks are even, and the first document of a slice travels to the slice before as well.  Repeated rows (one id, one text) are
 counted before the shuffle and come out again as often as they went in: the next document of
 all but the last of them is the text itself.  A table of one document is its own next.  An
 empty table has no rows.
@@ -38,7 +38,8 @@ from tidemark.scratch import stage
 GRAM = 32
 WINDOW = 64
 PIECE = 1 << 15
-SLICE_BYTES = 64 << 20
+SLICE_BYTES = 8 << 20
+SLICES_A_TASK = 8
 COPIES = 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MARKS = "array<struct<hash: bigint, position: bigint>>"
@@ -157,7 +158,7 @@ def _first_keys(keyed: DataFrame, slice_bytes: int) -> list[tuple]:
     """The first key of each slice, in order; their number follows the bytes of all texts (runs two jobs)."""
     keys = stage(keyed.select("missing", "back", "digest", F.octet_length("text").alias("size")), "winnowing-keys")
     total = keys.agg(F.sum("size")).first()[0]
-    slices = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total or 0) // slice_bytes + 1)
+    slices = max(SLICES_A_TASK * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total or 0) // slice_bytes + 1)
     dealt = keys.repartitionByRange(slices, "missing", "back", "digest").groupBy(F.spark_partition_id().alias("slice"))
     first = dealt.agg(F.min(F.struct("missing", "back", "digest")).alias("first")).select("first.*").distinct()
     return sorted(tuple(r) for r in first.collect())
@@ -248,7 +249,7 @@ def neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text", gram: in
         if out:
             yield flush()
 
-    placed = keyed.mapInArrow(place, PLACED).repartition(max(len(firsts), 1), "slice")
+    placed = keyed.mapInArrow(place, PLACED).repartition(-(-len(firsts) // SLICES_A_TASK) or 1, "slice")
     ordered = placed.sortWithinPartitions("slice", "tail", "missing", "back", "digest", "text")
     found = ordered.mapInArrow(study, ", ".join(STUDY_COLUMNS))
     kind = docs.schema[id].dataType
