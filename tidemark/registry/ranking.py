@@ -32,7 +32,7 @@ def top_orders_per_customer(spark, sf_dir):
 
 
 @book.query("SRT-1", """SELECT l_suppkey, count(*) AS lines,
-                               CAST(row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS INTEGER) AS place
+                               row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS place
                         FROM lineitem GROUP BY l_suppkey ORDER BY lines DESC, l_suppkey""")
 def sorted_suppliers(spark, sf_dir):
     """With its place in every row, so that the order is compared and not just the rows."""
@@ -40,6 +40,17 @@ def sorted_suppliers(spark, sf_dir):
     return sort_by(numbered(counts, F.col("lines").desc(), "l_suppkey"), "place")
 
 
+@book.query("SRT-1 WIN-1", """
+SELECT l_suppkey, l_orderkey, l_linenumber,
+       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place
+FROM lineitem""")
+def places_in_large_groups(spark, sf_dir):
+    """Three groups, each sorted by as many tasks as it fills."""
+    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    placed = numbered(lines, F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber", within=["l_returnflag"])
+    return placed.select("l_suppkey", "l_orderkey", "l_linenumber", "place")
+
+
 @book.query("SRT-2", """
 SELECT o_custkey, orders, CAST(row_number() OVER (ORDER BY orders DESC, o_custkey) AS INTEGER) AS place
 FROM (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey)

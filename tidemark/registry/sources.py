@@ -19,9 +19,9 @@ from tidemark.sources.catalog import catalog_tables, register, scan_table, unreg
 from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
 from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
                                         read_published, sample_rows, table_report, validate_dataset)
-from tidemark.sources.records import (decode_values, read_backlog, stream_records, to_records,
+from tidemark.sources.records import (EARLIEST, LATEST, decode_values, partition_ends, read_backlog, stream_records, to_records,
                                       write_records)
-from tidemark.streaming.output import append_result
+from tidemark.streaming.output import BatchTable, append_result, drain, for_each_batch
 
 book = QueryBook()
 
@@ -162,6 +162,64 @@ def record_backlog(spark, sf_dir):
     return decode_values(read_backlog(spark, "files", _landed_events(spark, sf_dir)), "bigint")
 
 
+NUMBERED_RECORDS = """
+WITH writes AS (SELECT event_id, props, CASE WHEN event_type = 'click' THEN 1 WHEN event_type = 'error' THEN 3 ELSE 2 END AS write,
+                       CASE WHEN user_id % 3 = 0 THEN 0 ELSE event_id % 5 END AS partition FROM events),
+     numbered AS (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY write, event_id) - 1 AS "offset" FROM writes)
+"""
+
+
+def _written_thrice(spark, sf_dir, **settings):
+    """Clicks, then all but errors, then these, in order of their id; partition 0 has a third of all records and more."""
+    path = scratch_path(spark, "numbered-records")
+    events = read(spark, sf_dir, "events")
+    place = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("event_id") % 5)
+    kind = F.col("event_type")
+    for part in (kind == "click", ~kind.isin("click", "error"), kind == "error"):
+        records = to_records(events.where(part), "event_id", "props", "ts", place)
+        write_records(records, "files", path, topic="events", order_by=F.col("key").cast("string").cast("bigint"), **settings)
+    return path
+
+
+@book.query("SRC-8 SRC-7", NUMBERED_RECORDS + """
+SELECT 'events' AS topic, CAST(partition AS INTEGER) AS partition, "offset", event_id AS key, props AS value FROM numbered""")
+def offsets_over_writes(spark, sf_dir):
+    """Offsets go on from write to write, without gaps, in every partition."""
+    records = read_backlog(spark, "files", _written_thrice(spark, sf_dir))
+    return records.select("topic", "partition", "offset", F.col("key").cast("string").cast("bigint").alias("key"),
+                          F.col("value").cast("string").alias("value"))
+
+
+@book.query("SRC-7 SRC-8", NUMBERED_RECORDS + """,
+     ends AS (SELECT partition, count(*) AS records FROM numbered GROUP BY partition)
+SELECT CAST(partition AS INTEGER) AS partition, "offset", event_id AS key FROM numbered JOIN ends USING (partition)
+WHERE CASE partition WHEN 0 THEN "offset" BETWEEN records // 2 AND records // 2 + 99 WHEN 1 THEN "offset" >= 10
+                     WHEN 2 THEN false ELSE "offset" < 50 END""")
+def offset_range(spark, sf_dir):
+    """A stated range per partition, read through the ledger: the middle, all from 10 on, nothing, the first 50."""
+    path = _written_thrice(spark, sf_dir)
+    half = partition_ends(spark, path).where("partition = 0").first()["end"] // 2
+    start = {"events": {0: half, 1: 10, 2: LATEST, 3: EARLIEST}}
+    end = {"events": {0: half + 100, 1: LATEST, 3: 50, 4: 50}}
+    records = read_backlog(spark, "files", path, start=start, end=end)
+    return records.select("partition", "offset", F.col("key").cast("string").cast("bigint").alias("key"))
+
+
+@book.query("SRC-6 STR-11", NUMBERED_RECORDS + """,
+     later AS (SELECT * FROM numbered WHERE CASE partition WHEN 1 THEN "offset" >= 20 WHEN 2 THEN false ELSE true END)
+SELECT partition::INTEGER AS partition, count(*) AS records, min("offset") AS first, true AS within_cap FROM later GROUP BY partition""")
+def capped_records_from_offsets(spark, sf_dir):
+    """A stream from stated offsets, with a cap on the records of a micro-batch that none exceeds."""
+    path = _written_thrice(spark, sf_dir, records_per_file=300)
+    arriving = stream_records(spark, "files", path, start={"events": {1: 20, 2: LATEST}}, per_trigger=5000)
+    table = BatchTable(spark)
+    drain(for_each_batch(arriving.select("partition", "offset"), table))
+    records = table.all_batches()
+    most = records.groupBy("batch").count().agg(F.max("count")).scalar()
+    return records.groupBy("partition").agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("first")).withColumn(
+        "within_cap", most <= 5000)
+
+
 @book.query("SRC-8", """SELECT CAST(o_orderkey AS VARCHAR) AS key_text,
                                CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus AS value_text,
                                strlen(CAST(o_orderkey AS VARCHAR)) AS key_bytes FROM orders""")
@@ -189,6 +247,25 @@ def dataset_validation(spark, sf_dir):
         "rows", "corrupt_rows", "has_header", "healthy")
 
 
+@book.query("SRC-13", """
+SELECT 'orders' AS part, count(*) AS rows, true AS has_header, false AS empty, false AS healthy FROM orders
+UNION ALL SELECT 'none', 0, false, true, false
+UNION ALL SELECT 'turned', count(*) + 1, false, false, false FROM nation""")
+def inventory_with_odd_files(spark, sf_dir):
+    """Good files, an empty one, and one with its header in the middle: both of these make the whole unhealthy."""
+    path, header, id, name = scratch_path(spark, "odd-csv"), "id,name", F.col("n_nationkey"), F.col("n_name")
+    orders, nations = read(spark, sf_dir, "orders"), read(spark, sf_dir, "nation")
+    orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name")).write.option("header", True).csv(f"{path}/orders")
+    lines = nations.select((2 * id).alias("at"), F.concat_ws(",", id, name).alias("value"))
+    middle = nations.agg((F.count(F.lit(1)) + 1).alias("at"), F.lit(header).alias("value"))
+    lines.unionByName(middle).coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{path}/turned")
+    lines.where(F.lit(False)).select("value").coalesce(1).write.text(f"{path}/none")
+    healthy = validate_dataset(spark, path, "id BIGINT, name STRING").select("healthy").scalar()
+    manifest = file_manifest(spark, path, "id BIGINT, name STRING")
+    return manifest.groupBy(F.element_at(F.split("file_path", "/"), -2).alias("part")).agg(
+        F.sum("rows").alias("rows"), F.min("has_header").alias("has_header"), (F.max("file_size") == 0).alias("empty")).withColumn("healthy", healthy)
+
+
 @book.query("SRC-13", "SELECT count(*) AS rows, 0::BIGINT AS corrupt_rows FROM orders")
 def dataset_manifest(spark, sf_dir):
     """Per-file figures added up; what the files are is up to the writer."""

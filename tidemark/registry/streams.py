@@ -5,13 +5,15 @@ keeps windows that end no later than the latest event less the delay.
 """
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import event_time, plain_time
 from tidemark.operators.payloads import parse_json
 from tidemark.operators.projections import originals
 from tidemark.operators.ranking import numbered
-from tidemark.plans.dashboard import busiest, dashboard
+from tidemark.plans.activity import sessions, tallies
+from tidemark.plans.dashboard import busiest, dashboard, dashboard_of, user_panes
 from tidemark.plans.domains import DOMAIN_SCHEMA, compare_domains
 from tidemark.plans.posts import dashboard_posts, original_posts, timed_posts
 from tidemark.registry import QueryBook, read
@@ -20,9 +22,10 @@ from tidemark.sources.records import stream_records, to_records, write_records
 from tidemark.streaming.output import (BatchTable, append_result, append_to, complete_result, drain,
                                        for_each_batch, sort_out, updated_result)
 from tidemark.streaming.replay import land, stream_events, stream_table
+from tidemark.streaming.rings import sliding_ring
 from tidemark.streaming.state import stateful_update
-from tidemark.streaming.windows import (ranked_in_window, running_count, sliding_count, top_in_window,
-                                        tumbling_count)
+from tidemark.streaming.windows import (ranked_in_window, running_count, slide_count, sliding_count, top_in_window,
+                                        tumbling_count, windows_from_slides)
 
 book = QueryBook()
 
@@ -63,7 +66,7 @@ BY_TYPE = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
 
 
 @book.query("STR-3 STR-10 SRT-4", """
-SELECT event_type, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) AS INTEGER) AS place
+SELECT event_type, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, event_type) AS place
 FROM events GROUP BY event_type""")
 def running_total(spark, sf_dir):
     """The batch function numbers the totals in their order, so the order is a column."""
@@ -98,6 +101,34 @@ def type_changes(spark, sf_dir):
     return newest
 
 
+@book.query("UDF-2 STR-8 STR-12", """
+WITH marked AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 12 HOUR, true) AS opens
+                FROM events),
+     sessions AS (SELECT user_id, ts, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM marked)
+SELECT user_id, session, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM sessions
+GROUP BY user_id, session HAVING max(ts) + INTERVAL 12 HOUR < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def user_sessions(spark, sf_dir):
+    """Sessions that end 12 hours after a user's last event: open ones are a list in state, closed by the watermark."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "sessions")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in _by_half(spark, sf_dir):
+        land(part, landing)
+        found = append_to(sessions(stream_events(spark, landing), ["user_id"], "ts", 12 * 3600, "1 hour"), out, checkpoint)
+    return found.select("user_id", "session", plain_time("first_seen").alias("first_seen"), plain_time("last_seen").alias("last_seen"), "n")
+
+
+@book.query("UDF-2 STR-3 STR-10", "SELECT user_id, event_type, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY ALL")
+def tallies_per_user(spark, sf_dir):
+    """A map in state, of which only the entries that a batch touches are read and put out."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    path = scratch_path(spark, "tallies")
+    for part in _by_half(spark, sf_dir):
+        land(part, landing)
+        changed = tallies(stream_events(spark, landing), ["user_id"], "event_type", "ts")
+        newest = updated_result(changed, "user_id", "event_type", checkpoint=checkpoint, path=path)
+    return newest.withColumn("last_seen", plain_time("last_seen"))
+
+
 @book.query("STR-3 STR-10", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def running_total_updates(spark, sf_dir):
     """Only changed totals are written; the newest per user is the result."""
@@ -171,6 +202,41 @@ def sliding_counts_in_batches(spark, sf_dir):
     return windows
 
 
+@book.query("STR-4 STR-8", """
+WITH shifts AS (SELECT unnest(range(12)) AS i),
+     rows AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS window_start, event_type, props
+              FROM events, shifts)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n, sum(length(props))::BIGINT AS chars
+FROM rows WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY ALL""")
+def sliding_ring_totals(spark, sf_dir):
+    """By adding and subtracting slides in state; counts and another total in one ring."""
+    return append_result(sliding_ring(_events(spark, sf_dir), "ts", "1 hour", "5 minutes", ["event_type"], "10 minutes",
+                                      sums={"chars": F.length("props")}))
+
+
+@book.query("STR-4 STR-8 STR-12", """
+WITH split AS (SELECT *, event_type = 'click' OR ts >= TIMESTAMP '2024-01-16' AS second FROM events),
+     shifts AS (SELECT unnest(range(12)) AS i),
+     mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS first_mark,
+                     (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS last_mark
+              FROM split WHERE NOT second),
+     rows AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS window_start,
+                     user_id % 7 AS "group", second FROM split, shifts)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, "group", count(*) AS n
+FROM rows, mark
+WHERE (NOT second OR window_start + INTERVAL 1 HOUR > first_mark)
+  AND window_start + INTERVAL 1 HOUR <= last_mark GROUP BY ALL""")
+def late_rows_in_rings(spark, sf_dir):
+    """Over two runs, clicks far later than the delay: a late row changes the windows still open, and no others."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in _split_events(spark, sf_dir):
+        land(part, landing)
+        rows = stream_events(spark, landing).select("ts", (F.col("user_id") % 7).alias("group"))
+        windows = append_to(sliding_ring(rows, "ts", "1 hour", "5 minutes", ["group"], "10 minutes"), out, checkpoint)
+    return windows
+
+
 @book.query("STR-4", SLIDING_ROWS)
 def sliding_counts_stored(spark, sf_dir):
     """The same operator over the table itself."""
@@ -180,12 +246,14 @@ def sliding_counts_stored(spark, sf_dir):
 
 @book.query("STR-7 SRT-4 STR-10", SLIDING + """
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n,
-       CAST(row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS INTEGER) AS rank
+       row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS rank
 FROM counts""")
 def sliding_counts_complete(spark, sf_dir):
-    """Ranked in the batch function, on the finished counts of each batch."""
-    counts = sliding_count(_events(spark, sf_dir), "ts", "1 hour", "5 minutes", ["event_type"])
-    return complete_result(counts, prepare=lambda batch: ranked_in_window(batch, ["event_type"]))
+    """The stream counts slides; the batch function spreads them over the windows and ranks these."""
+    keys = ["event_type"]
+    counts = slide_count(_events(spark, sf_dir), "ts", "5 minutes", keys)
+    return complete_result(counts, prepare=lambda batch: ranked_in_window(
+        windows_from_slides(batch, "1 hour", "5 minutes", keys), keys))
 
 
 DASHBOARD = """
@@ -202,22 +270,47 @@ SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, language, n, a
        value, rank FROM placed WHERE rank <= 10"""
 
 
-def _dashboard(events):
-    rows = events.select("ts", F.col("props").alias("language"),
-                         F.length("event_type").alias("size"), "user_id", "value")
-    return dashboard(rows, "ts", "1 day", "6 hours", user="user_id", weight="value")
+def _scored(events):
+    """The payload stands for the language: it has a hundred values."""
+    return events.select("ts", F.col("props").alias("language"), F.length("event_type").alias("size"), "user_id", "value")
 
 
 @book.query("STR-5 STR-13 AGG-12 WIN-1", DASHBOARD)
 def language_dashboard(spark, sf_dir):
-    """The payload stands for the language: it has a hundred values."""
-    return complete_result(_dashboard(_events(spark, sf_dir)), prepare=busiest)
+    """The stream adds up per slide and user; the batch function makes windows of that and picks the busiest."""
+    panes = user_panes(_scored(_events(spark, sf_dir)), "ts", "6 hours", user="user_id", weight="value")
+    return complete_result(panes, prepare=lambda batch: busiest(
+        dashboard_of(batch, "1 day", "6 hours", user="user_id", weight="value")))
 
 
 @book.query("STR-5", DASHBOARD)
 def language_dashboard_stored(spark, sf_dir):
     """The same operator over the table itself."""
-    return busiest(_dashboard(read(spark, sf_dir, "events").withColumn("ts", event_time("ts"))))
+    rows = _scored(read(spark, sf_dir, "events").withColumn("ts", event_time("ts")))
+    return busiest(dashboard(rows, "ts", "1 day", "6 hours", user="user_id", weight="value"))
+
+
+@book.query("STR-5 STR-8", """
+WITH split AS (SELECT *, event_type = 'click' OR ts >= TIMESTAMP '2024-01-16' AS second FROM events),
+     shifts AS (SELECT unnest(range(4)) AS i),
+     mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS first_mark, (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS last_mark
+              FROM split WHERE NOT second),
+     rows AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - to_hours(CAST(6 * i AS INTEGER)) AS window_start,
+                     event_type AS language, length(props) AS size, user_id, value, second FROM split, shifts)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, language, count(*) AS n, round(avg(size), 2) AS avg_size,
+       first(user_id ORDER BY value DESC, user_id) AS user_id, max(value) AS value
+FROM rows, mark WHERE (NOT second OR window_start + INTERVAL 1 DAY > first_mark)
+  AND window_start + INTERVAL 1 DAY <= last_mark GROUP BY ALL""")
+def dashboard_with_late_rows(spark, sf_dir):
+    """Two chained stateful aggregates, over two runs: late clicks reach the windows still open."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "dashboards")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in _split_events(spark, sf_dir):
+        land(part, landing)
+        rows = stream_events(spark, landing).select(
+            "ts", F.col("event_type").alias("language"), F.length("props").alias("size"), "user_id", "value")
+        boards = append_to(dashboard(rows, "ts", "1 day", "6 hours", user="user_id", weight="value", delay="1 hour"), out, checkpoint)
+    return boards
 
 
 def _post_records(events):
@@ -414,6 +507,28 @@ def restarted_total(spark, sf_dir):
     return totals
 
 
+@book.query("STR-12 STR-13", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def replay_after_a_failure(spark, sf_dir):
+    """The second batch is written and dies before it is committed; run again from the checkpoint, it replaces itself."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    table = BatchTable(spark)
+
+    def dies_after_writing(batch, number):
+        table(batch, number)
+        if number == 1:
+            raise RuntimeError("lost between writing and committing")
+
+    for part, action in zip(_by_half(spark, sf_dir), (table, dies_after_writing)):
+        land(part, landing)
+        try:
+            drain(for_each_batch(running_count(stream_events(spark, landing), "user_id"), action, "update", checkpoint))
+        except StreamingQueryException as error:
+            if action is table or "lost between" not in str(error):
+                raise
+    drain(for_each_batch(running_count(stream_events(spark, landing), "user_id"), table, "update", checkpoint))
+    return table.latest_by("user_id")
+
+
 @book.query("STR-13", """SELECT event_type, max(value) AS highest,
                                CAST(sum(value::DECIMAL(18, 2)) AS DOUBLE) AS total
                          FROM events GROUP BY event_type""")

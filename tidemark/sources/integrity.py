@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,16 +16,36 @@ from tidemark.sources.files import as_struct, ddl_of, scan_csv
 FILE_COLUMNS = ("file_name", "file_size", "file_modified")
 
 
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, file_name, file_size, file_modified) of every file below ``path``, also of empty ones.
+
+    The contents are not read.  Scans pass over empty files, so the names come from the listing
+    that Spark keeps for any scan; an empty file has size 0 and no time.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "_listed STRING").select(
+        _plain_path(F.col("_listed")).alias("file_path"))
+    known = files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("file_modified"))
+    return names.join(known, "file_path", "left").select(
+        "file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"), F.coalesce("file_size", F.lit(0)).alias("file_size"),
+        "file_modified")
+
+
+def _plain_path(encoded: Column) -> Column:
+    """A path that Spark has written as an address, as a listing writes it: odd characters and the slashes of a scheme differ."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(encoded, r"\+", "%2B")), "^file:/+", "file:/")
+
+
 def _checked_lines(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> DataFrame:
     # Lines rather than the CSV reader: that one drops headers unseen, and here
     # they are to be checked, in the same single pass that parses the rows.
     # Splitting by lines rules out line breaks inside quoted fields.
-    lines = spark.read.text(path).select(
+    # A task reads its part of a file from front to back, so the first line of a
+    # file is the one with the least number in the part that starts at 0.
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("file_modified"))
+        _plain_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("at"))
     row = F.from_csv("line", ddl_of(with_corrupt_field(schema)),
                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep})
     header = sep.join(schema.fieldNames())
@@ -35,32 +55,43 @@ def _checked_lines(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 def file_manifest(spark: SparkSession, path: str, schema: T.StructType | str,
                   sep: str = ",") -> DataFrame:
-    """One row per CSV file: size, time, header present, rows, corrupt rows, checksum.
+    """One row per file: size, time, header present, rows, corrupt rows, checksum.
 
-    The checksum ignores row order, so it survives a rewrite into other files:
-    the whole data set's is the sum over its files.
+    The listing names the files, so one without lines is there with no rows and no header.
+    A header is the first line that is not blank; the same text further down is a row like any
+    other, and a corrupt one if its fields do not parse.  The checksum ignores row order, so it survives
+    a rewrite into other files: the whole data set's is the sum over its files.
     """
     declared = as_struct(schema)
     checked = _checked_lines(spark, path, declared, sep)
     fields = [f"row.{name}" for name in declared.fieldNames()]
-    is_row = ~F.col("is_header")
-    corrupt = is_row & F.col(f"row.{CORRUPT}").isNotNull()
-    return (checked.groupBy("file_path", *FILE_COLUMNS)
-            .agg(F.max("is_header").alias("has_header"),
-                 F.count_if(is_row).alias("rows"),
-                 F.count_if(corrupt).alias("corrupt_rows"),
-                 hash_sum(F.when(is_row, F.xxhash64(*fields))).alias("checksum")))
+    corrupt = F.col(f"row.{CORRUPT}").isNotNull()
+    heads, found = F.col("is_header"), F.col("has_header")
+    hashed = F.xxhash64(*fields)
+    # The header line is taken off the sums again where it turns out to be one.
+    per_file = checked.groupBy("file_path").agg(
+        F.min_by("is_header", "at").alias("has_header"), F.count(F.lit(1)).alias("rows"), F.count_if(corrupt).alias("corrupt_rows"),
+        hash_sum(hashed).alias("checksum"), F.max(F.when(heads, hashed)).alias("_hash"),
+        F.max(F.when(heads, corrupt)).alias("_corrupt"))
+    none, one = F.lit(0).cast("long"), F.when(found, 1).otherwise(0)
+    listed = file_listing(spark, path).join(per_file, "file_path", "left")
+    return listed.withColumn("has_header", F.coalesce("has_header", F.lit(False))).select(
+        "file_path", *FILE_COLUMNS, "has_header", (F.coalesce("rows", none) - one).alias("rows"),
+        (F.coalesce("corrupt_rows", none) - F.when(found & F.col("_corrupt"), 1).otherwise(0)).alias("corrupt_rows"),
+        (F.coalesce("checksum", F.lit(0)) - F.when(found, F.col("_hash")).otherwise(0)).cast("decimal(38,0)").alias("checksum"))
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, rows, checksum) of every text file, whatever its size.
+    """(path, length, rows, checksum) of every file below ``path``, whatever its size; an empty one has none of either.
 
     The checksum is the sum of the hashes of a file's lines, so a file is read in as
-    many tasks as it has splits.  Empty files have no lines and no row here.
+    many tasks as it has splits.
     """
-    return (spark.read.text(path)
-            .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
-            .agg(F.count(F.lit(1)).alias("rows"), hash_sum(F.xxhash64("value")).alias("checksum")))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(_plain_path(F.col("_metadata.file_path")).alias("path"), "value")
+    summed = lines.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), hash_sum(F.xxhash64("value")).alias("checksum"))
+    listed = file_listing(spark, path).select(F.col("file_path").alias("path"), F.col("file_size").alias("length"))
+    return listed.join(summed, "path", "left").select(
+        "path", "length", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("checksum", F.lit(0)).cast("decimal(38,0)").alias("checksum"))
 
 
 def sample_rows(spark: SparkSession, path: str, schema: T.StructType | str, n: int = 5,
@@ -73,7 +104,8 @@ def validate_dataset(spark: SparkSession, path: str, schema: T.StructType | str,
                      sep: str = ",") -> DataFrame:
     """One row on the whole data set, with a verdict.
 
-    Healthy means: there is data, every file starts as declared, every row parses.
+    Healthy means: there is data, every file starts as declared, every row parses.  An empty
+    file does not start as declared.
     """
     manifest = file_manifest(spark, path, schema, sep)
     report = manifest.agg(

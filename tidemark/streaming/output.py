@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -94,8 +96,16 @@ def for_each_batch(df: DataFrame, action: BatchFunction, mode: str = "append",
     return write_stream(df, mode, action, trigger=trigger, checkpoint=checkpoint)
 
 
+COMPACTIONS = "upto BIGINT, location STRING, keys ARRAY<STRING>, buckets INT, ddl STRING"
+
+
 class BatchTable:
-    """Parquet table with one folder per micro-batch, each replaced as a whole."""
+    """Parquet table with one folder per micro-batch, each replaced as a whole.
+
+    ``compact`` reduces the batches so far to the newest row per key, in files bucketed by key, and
+    enters that in a log beside the batches.  Every reader of the path goes by the log, in
+    any process: it opens the compacted rows and later batches only.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None):
@@ -104,7 +114,6 @@ class BatchTable:
         self.prepare = prepare
         self.schema = None
         self.last: int | None = None
-        self.compacted: tuple[int, str] | None = None
 
     def _find_last(self) -> None:
         """Take up a table written by an earlier run, for a stream that found nothing new."""
@@ -123,36 +132,85 @@ class BatchTable:
         self._find_last()
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={self.last}")
 
-    def all_batches(self) -> DataFrame:
-        """The rows of every batch, with its number in ``batch``; of compacted ones what is left."""
+    def last_compaction(self) -> Row | None:
+        """The newest entry of the log (upto, location, keys, buckets, ddl), if there is one."""
+        try:
+            log = self.spark.read.schema(COMPACTIONS).parquet(f"{self.path}/_compactions/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return log.orderBy(F.col("upto").desc(), "location").first()
+
+    def _compacted(self, entry: Row) -> DataFrame:
+        """The rows of a compaction, with the planner knowing their buckets."""
+        name = f"compacted_{uuid.uuid4().hex}"
+        keys = ", ".join(f"`{k}`" for k in entry["keys"])
+        self.spark.sql(f"CREATE TABLE {name} ({entry['ddl']}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                       f"INTO {entry['buckets']} BUCKETS LOCATION '{entry['location']}'")
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")        # the files stay
+
+    def _batches(self, after: int | None) -> DataFrame:
         self._find_last()
         rows = self.spark.read.schema(f"{ddl_of(self.schema)}, batch BIGINT").parquet(self.path)
-        if self.compacted is None:
-            return rows
-        upto, path = self.compacted
-        return rows.where(F.col("batch") > upto).unionByName(self.spark.read.schema(rows.schema).parquet(path))
-
-    def compact(self, *keys: str) -> None:
-        """Keep only the newest row per key of the batches so far (runs a job).
-
-        The rows are written beside the table; from then on readers of this object take
-        them and, of the batch folders, only later ones, which a filter on the folder
-        names leaves out of the scan.  The older folders are not deleted; they may be,
-        once no other reader needs them.
+        return rows if after is None else rows.where(F.col("batch") > after)
+
+    def all_batches(self) -> DataFrame:
+        """The rows of every batch, with its number in ``batch``; of compacted ones what is left."""
+        entry = self.last_compaction()
+        if entry is None:
+            return self._batches(None)
+        return self._batches(entry["upto"]).unionByName(self._compacted(entry))
+
+    def compact(self, *keys: str, buckets: int | None = None) -> None:
+        """Keep only the newest row per key of the batches so far (runs jobs).
+
+        An earlier compaction by the same keys is joined bucket by bucket, so only later
+        batches are shuffled.  The rows are written first and entered in the log after that; one that
+        dies between leaves no trace for readers.  The older folders are not deleted; they may be,
+        once no reader that began before needs them.
         """
+        entry = self.last_compaction()
+        fits = entry is not None and list(entry["keys"]) == list(keys)
+        buckets = buckets or (entry["buckets"] if fits else int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         rows = self.latest_by(*keys, with_batch=True)
-        upto, path = self.last, f"{self.path}-compacted/upto={self.last}"
-        rows.write.mode("overwrite").parquet(path)
-        self.compacted = (upto, path)
+        upto, name = self.last, f"compacting_{uuid.uuid4().hex}"
+        location = f"{self.path}/_compactions/upto={upto}-{uuid.uuid4().hex}"
+        try:
+            (rows.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+             .option("path", location).saveAsTable(name))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (self.spark.createDataFrame([(upto, location, list(keys), buckets, ddl_of(rows.schema))], COMPACTIONS)
+         .coalesce(1).write.mode("append").parquet(f"{self.path}/_compactions/log"))
 
     def latest_by(self, *keys: str, with_batch: bool = False) -> DataFrame:
         """The newest row per key: the current result of an update-mode stream."""
-        rows = self.all_batches()
-        rest = [c for c in rows.columns if c not in (*keys, "batch")]
-        # A key occurs once per batch, so the columns may be picked one by one,
-        # which leaves numbers to the hash aggregate; a struct would be sorted.
-        batch = [F.max("batch").alias("batch")] if with_batch else []
-        return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in rest), *batch)
+        entry = self.last_compaction()
+        merge = entry is not None and list(entry["keys"]) == list(keys)
+        rows = self._batches(entry["upto"]) if merge else self.all_batches()
+        newest = _newest(rows, keys)
+        if merge:
+            # Keys without nulls are joined by equality, which is what buckets serve; the few others are regrouped.
+            whole = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+            old, new = self._compacted(entry), newest
+            pairs = old.where(whole).alias("old").join(new.where(whole).alias("new"), [F.col(f"old.`{k}`") == F.col(f"new.`{k}`") for k in keys], "full")
+            newer = F.col("new.batch").isNotNull()
+            merged = pairs.select(*[F.when(newer, F.col(f"new.`{c}`")).otherwise(F.col(f"old.`{c}`")).alias(c) for c in new.columns])
+            odd = f"NOT ({whole})"
+            newest = merged.unionByName(_newest(old.where(odd).unionByName(new.where(odd)), keys))
+        return newest if with_batch else newest.drop("batch")
+
+
+def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row of the latest batch per key, with ``batch``."""
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    # A key occurs once per batch, so the columns may be picked one by one,
+    # which leaves numbers to the hash aggregate; a struct would be sorted.
+    return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in rest), F.max("batch").alias("batch"))
 
 
 def complete_result(df: DataFrame, checkpoint: str | None = None,

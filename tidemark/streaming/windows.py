@@ -10,11 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timing import plain_time
-from tidemark.operators.ranking import top_per_group
+from tidemark.operators.ranking import numbered, top_per_group
 
 BOUNDS = ("window_start", "window_end")
 SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -86,6 +86,19 @@ def sliding_count(stream: DataFrame, ts: str, size: str, slide: str, keys: Seque
     return counted.select(*_bounds(), *keys, name)
 
 
+def slide_count(stream: DataFrame, ts: str, slide: str, keys: Sequence[str] = (), name: str = "n") -> DataFrame:
+    """Rows per slide, for ``windows_from_slides`` to spread over windows: a stream then keeps one count per slide."""
+    return stream.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def windows_from_slides(slides: DataFrame, size: str, slide: str, keys: Sequence[str] = (), name: str = "n") -> DataFrame:
+    """The overlapping windows of a table of ``slide_count``; windows have to consist of whole slides."""
+    if not in_panes(size, slide):
+        raise ValueError("windows have to consist of whole slides")
+    counted = slides.groupBy(F.window(F.col("pane.start"), size, slide), *keys).agg(F.sum(name).alias(name))
+    return counted.select(*_bounds(), *keys, name)
+
+
 def running_count(stream: DataFrame, keys: str | Sequence[str], name: str = "n") -> DataFrame:
     """Total per key since the stream began."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -110,6 +123,8 @@ def top_in_window(counts: DataFrame, k: int, keys: Sequence[str], name: str = "n
 
 def ranked_in_window(counts: DataFrame, keys: Sequence[str], name: str = "n",
                      rank_as: str = "rank") -> DataFrame:
-    """All rows of each window, numbered from the largest count."""
-    by = Window.partitionBy(*BOUNDS).orderBy(F.col(name).desc(), *keys)
-    return counts.withColumn(rank_as, F.row_number().over(by))
+    """All rows of each window, numbered from the largest count (runs jobs).
+
+    A window's rows are sorted by as many tasks as they fill, see ``numbered``.
+    """
+    return numbered(counts, F.col(name).desc(), *keys, name=rank_as, within=BOUNDS)
