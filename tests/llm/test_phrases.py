@@ -62,15 +62,15 @@ def test_collocations_are_those_of_brute_force(spark, seed, settings):
     assert found == brute(docs, **wanted) and found
 
 
-def test_a_failed_border_leads_to_further_passes(spark, monkeypatch):
-    """Without proposals the full pass knows words only; phrases of two and three words need two more."""
+def test_a_failed_border_leads_to_an_expansion(spark, monkeypatch):
+    """Without proposals the full pass counts words only; the expansion finds all phrases built on them."""
     passes = []
     plain = phrases._counted
     monkeypatch.setattr(phrases, "_counted", lambda t, p, *rest: (passes.append(len(p)), plain(t, p, *rest))[1])
     docs = corpus(11, 100, "abcdef")
     df = spark.createDataFrame(docs, "text string, lang string")
     found = phrases.frequent_phrases(df, share=0.0, bits=16)
-    assert passes == [1, 1, 2, 3]
+    assert passes == [1, 1, 2]
     counts = brute_counts(docs, 3)
     wanted = {(g, " ".join(p), c) for g, f in counts.items() for p, c in f.items() if c >= 10}
     assert {tuple(r) for r in found.where("words > 0").select("lang", "phrase", "n").collect()} == wanted

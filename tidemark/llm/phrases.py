@@ -7,10 +7,10 @@ is frequent from ``least`` occurrences on.
 A sample of the texts proposes phrases.  The full pass counts, over all texts, the proposed ones and
 their negative border: all words, and every longer phrase whose two parts (without its last and
 without its first word) are proposed.  If that finds a frequent phrase that was not proposed, the
-border has failed, and a further pass counts the phrases whose parts are frequent and that no pass
-has counted.  Once a pass finds nothing outside what it was given, the counts are closed: each
-frequent phrase has frequent parts, so none is missing.  That takes as many full passes as a
-phrase has words, at most.
+border has failed, and the expansion pass counts what no pass has counted of the phrases whose
+parts are frequent, or are counted in that very pass.  With that the counts are closed: a frequent phrase
+has frequent parts, and each of these is known to be frequent before the expansion or counted in it.
+The longest phrases need no proposal, as nothing is built on them.
 
 What is proposed or frequent goes to the tasks as bit sets of fixed size (two bits a phrase).  A phrase that
 a bit set holds by chance is counted like the others, so counts are exact at any filling, and the sets
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import stage
 
-UNIT = 8 << 20
+UNIT = 3 << 20
 BITS = 27
 ROOM = 32
 SHARE = 0.125
@@ -134,9 +134,11 @@ def counts_of(lang: str, text: bytes, ahead: bytes, longest: int, passes: list[P
             return
         alive = alive[:-1] & (ids[words - 1:] > 0)
         due = [i[:-1] & i[1:] & alive for i in inside]
-        now = due[-1].copy()
-        for earlier in due[:-1]:
-            now &= ~earlier
+        seen, fresh = np.zeros(len(alive), bool), []
+        for one in due:
+            fresh.append(one & ~seen)
+            seen |= one
+        now = fresh[-1].copy()
         now[begin:] = False
         if (int(code.max(initial=0)) + 1) * len(vocabulary) >= 2 ** 62:
             code = np.unique(code, return_inverse=True)[1]
@@ -148,10 +150,11 @@ def counts_of(lang: str, text: bytes, ahead: bytes, longest: int, passes: list[P
         if words < longest:
             hashes = longer(hashes[:-1], hashes_of[ids[words - 1:]])
             inside = []
-            for p in passes:
-                inside.append(np.zeros(len(alive), bool))
-                at = np.flatnonzero(alive)
-                inside[-1][at] = p.holds(words, hashes[at])
+            at = np.flatnonzero(alive)
+            for number, p in enumerate(passes):
+                held = np.zeros(len(alive), bool)
+                held[at] = p.holds(words, hashes[at])
+                inside.append(held | fresh[number] if number else held)
 
 
 def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterator[tuple[str, bytes, bytes]]:
@@ -255,20 +258,20 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
                      bits: int = BITS, unit: int = UNIT) -> DataFrame:
     """(lang, words, phrase, n) of all frequent phrases of up to ``longest`` words, and with 0 words the total per language.
 
-    ``share`` of the texts, chosen by their hash, propose.  Runs a job for the sample and each pass.
+    ``share`` of the texts, chosen by their hash, propose what they hold at least twice, or as often
+    as ``least`` times the share.  Runs jobs for the sample and for one or two full passes.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shorter = range(1, longest)
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    everything = dict.fromkeys(shorter)
-    proposed = stage(_counted(sample, [everything], longest, max(1, int(least * share)), unit), "phrases-proposed")
-    passes, found = [{m: bit_set(proposed, m, bits) for m in shorter}], None
-    while True:
-        new = stage(_counted(texts, passes, longest, least, unit), "phrases-counted")
-        found = new if found is None else found.unionByName(new)
-        if not any(_outside(new, m, passes[-1][m]) for m in shorter):
-            return found
-        passes.append({m: bit_set(found, m, bits) for m in shorter})
+    lowered = min(least, max(2, int(least * share)))
+    proposed = stage(_counted(sample, [dict.fromkeys(shorter[:-1])], longest - 1, lowered, unit), "phrases-proposed")
+    passes = [{m: bit_set(proposed, m, bits) for m in shorter}]
+    found = stage(_counted(texts, passes, longest, least, unit), "phrases-counted")
+    if not any(_outside(found, m, passes[0][m]) for m in shorter):
+        return found
+    passes.append({m: bit_set(found, m, bits) for m in shorter})
+    return found.unionByName(stage(_counted(texts, passes, longest, least, unit), "phrases-expanded"))
 
 
 def _joined(words: Column) -> Column:
