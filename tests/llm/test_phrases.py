@@ -86,22 +86,32 @@ def test_full_sets_count_more_but_find_the_same(spark):
     assert rows(phrases.frequent_phrases(df, bits=6)) == rows(phrases.frequent_phrases(df, bits=20))
 
 
+def counted(parts):
+    unit = phrases.Unit("en")
+    seen = collections.Counter()
+    for part, ahead in parts:
+        unit.add(part, ahead)
+        for found, counts in phrases.counts_of(unit, 3, [phrases.Pass({1: None, 2: None})]):
+            seen.update(dict(zip(found.to_pylist(), counts.tolist())))
+    return seen
+
+
 def test_long_texts_without_a_break_are_followed_across_parts():
     text = b" ".join(b"w%d" % (i % 7) for i in range(500)) + b"\xff" + b"x" * 300 + b" y z\xff"
-    for unit in (5, 50, 299, 5000):
-        seen = collections.Counter()
-        for part, ahead in phrases.segments(text, unit, 3):
-            for _, found, counts in phrases.counts_of("en", part, ahead, 3, [phrases.Pass({1: None, 2: None})]):
-                seen.update(dict(zip(found, counts.tolist())))
-        whole = collections.Counter()
-        for _, found, counts in phrases.counts_of("en", text, b"", 3, [phrases.Pass({1: None, 2: None})]):
-            whole.update(dict(zip(found, counts.tolist())))
-        assert seen == whole
+    for size in (5, 50, 299, 5000):
+        assert counted(phrases.segments(text, size, 3)) == counted([(text, b"")])
+
+
+def test_words_are_forgotten_when_there_are_too_many(monkeypatch):
+    monkeypatch.setattr(phrases, "WORDS", 3)
+    texts = [(b"a b c d a b", b""), (b"a b e", b""), (b"c d", b"")]
+    assert counted(texts) == collections.Counter({b"": 11, b"a": 3, b"b": 3, b"c": 2, b"d": 2, b"e": 1, b"a b": 3, b"b c": 1, b"c d": 2, b"d a": 1,
+                                                  b"b e": 1, b"a b c": 1, b"b c d": 1, b"c d a": 1, b"d a b": 1, b"a b e": 1})
 
 
 def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     big = 3 * 10**9 + 7
-    table = spark.createDataFrame([("en", 0, "", 10**10), ("en", 1, "a", big + 5), ("en", 1, "b", big + 11), ("en", 2, "a b", big)], phrases.COUNTED)
+    table = spark.createDataFrame([("en", 0, "", 10**10), ("en", 1, "a", big + 5), ("en", 1, "b", big + 11), ("en", 2, "a b", big)], "lang string, words int, phrase string, n long")
     monkeypatch.setattr(phrases, "frequent_phrases", lambda *a, **k: table)
     found = phrases.collocations(table).collect()
     assert [tuple(r) for r in found] == [("en", 1, "a b", big, big + 5, big + 11, 10**10, 10**6 * big * big // ((big + 5) * (big + 11)))]

@@ -14,11 +14,11 @@ The longest phrases need no proposal, as nothing is built on them.
 
 What is proposed or frequent goes to the tasks as bit sets of fixed size (two bits a phrase).  A phrase that
 a bit set holds by chance is counted like the others, so counts are exact at any filling, and the sets
-never grow with the corpus; when they fill up, more phrases are counted.  Tasks count in units of text of
-bounded size and hand on one row per different phrase of a unit, which Spark adds up.
+never grow with the corpus; when they fill up, more phrases are counted.  Tasks count in units of about
+``UNIT`` words and hand on one row per different phrase of a unit, which Spark adds up.
 
 Null texts are empty, a null language is ``und``.  Texts without words add nothing.  Repeated rows
-count as often as they occur.  Texts of any length are counted in pieces of ``UNIT`` bytes, across
+count as often as they occur.  Texts of any length are taken in parts of ``CHUNK`` bytes, across
 whose ends phrases are followed.  An empty table has no phrases.
 """
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -36,13 +37,16 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import stage
 
-UNIT = 3 << 20
+UNIT = 2 << 20                                  # words
+CHUNK = 1 << 20                                 # bytes
+WORDS = 1 << 19
+LANGS = 64
 BITS = 27
 ROOM = 32
 SHARE = 0.125
 SALTS = 64
 STOP = b"\xff"                                  # in no UTF-8 text
-COUNTED = "lang string, words int, phrase string, n long"
+COUNTED = "lang string, phrase string, n long"
 
 # What ends a piece, and what parts words.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -106,76 +110,121 @@ def segments(text: bytes, unit: int, longest: int) -> Iterator[tuple[bytes, byte
     yield text[start:], b""
 
 
-def counts_of(lang: str, text: bytes, ahead: bytes, longest: int, passes: list[Pass]) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(number of words, phrases, counts) of a unit, of what the last pass counts and no earlier one has.
+class Unit:
+    """Texts of one language as word numbers, until there are enough to count.
 
-    Phrases that begin in ``ahead`` belong to the next unit.  Number 0 is the total of words.
+    Number 0 ends a piece.  The words outlast a count, so that most are hashed once a task,
+    until there are too many of them.
     """
-    tokens = text.replace(STOP, b" \xff ").split()
-    begin = len(tokens)
-    tokens += ahead.split()
-    numbers = collections.defaultdict()
-    numbers.default_factory = numbers.__len__
-    numbers[STOP]
-    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    vocabulary = list(numbers)
-    hashes_of = word_hashes(lang, vocabulary)
+
+    def __init__(self, lang: str):
+        self.lang = lang
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[bytes, int] = collections.defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.numbers[STOP]
+        self.hashes = np.zeros(1, np.uint64)
+        self.parts, self.apart, self.size = [], [], 0
+
+    def add(self, text: bytes, ahead: bytes = b"") -> None:
+        """Count ``text``; phrases may run on into ``ahead``, but those that begin there belong to the next unit."""
+        tokens = text.replace(STOP, b" \xff ").split()
+        begin = self.size + len(tokens)
+        tokens += ahead.split()
+        tokens.append(STOP)
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens)))
+        self.size += len(tokens)
+        if ahead:
+            self.apart.append((begin, self.size))
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Word numbers, where no phrase begins, the words and their hashes; the unit is empty after that."""
+        ids = np.concatenate(self.parts).astype(np.int64) if self.parts else np.empty(0, np.int64)
+        words = list(self.numbers)
+        self.hashes = np.concatenate([self.hashes, word_hashes(self.lang, words[len(self.hashes):])])
+        none = np.zeros(len(ids), bool)
+        for start, end in self.apart:
+            none[start:end] = True
+        hashes, self.parts, self.apart, self.size = self.hashes, [], [], 0
+        if len(words) > WORDS:
+            self._forget()
+        return ids, none, words, hashes
+
+
+def counts_of(unit: Unit, longest: int, passes: list[Pass]) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of a unit, of what the last pass counts and no earlier one has; the empty phrase has the total of words."""
+    ids, none, words, hashes_of = unit.take()
+    texts = pa.array(words, pa.binary())
     if len(passes) == 1:
-        per_word = np.bincount(ids[:begin], minlength=len(vocabulary))
+        per_word = np.bincount(ids[~none], minlength=len(words))
         per_word[0] = 0
         present = np.flatnonzero(per_word)
-        yield 0, [b""], np.array([per_word.sum()])
-        yield 1, [vocabulary[i] for i in present], per_word[present]
+        yield pa.array([b""], pa.binary()), np.array([per_word.sum()])
+        yield texts.take(pa.array(present)), per_word[present]
     # ``alive``: places where a phrase of the length at hand begins; ``code``: a number that tells these phrases apart.
     alive, code, hashes = ids > 0, ids, hashes_of[ids]
     inside = [p.holds(1, hashes_of)[ids] & alive for p in passes] if longest > 1 else []
-    for words in range(2, longest + 1):
-        if len(ids) < words:
+    for length in range(2, longest + 1):
+        if len(ids) < length:
             return
-        alive = alive[:-1] & (ids[words - 1:] > 0)
+        alive = alive[:-1] & (ids[length - 1:] > 0)
         due = [i[:-1] & i[1:] & alive for i in inside]
         seen, fresh = np.zeros(len(alive), bool), []
         for one in due:
             fresh.append(one & ~seen)
             seen |= one
-        now = fresh[-1].copy()
-        now[begin:] = False
-        if (int(code.max(initial=0)) + 1) * len(vocabulary) >= 2 ** 62:
+        if (int(code.max(initial=0)) + 1) * len(words) >= 2 ** 62:
             code = np.unique(code, return_inverse=True)[1]
-        code = code[:-1] * len(vocabulary) + ids[words - 1:]
-        places = np.flatnonzero(now)
+        code = code[:-1] * len(words) + ids[length - 1:]
+        places = np.flatnonzero(fresh[-1] & ~none[:len(alive)])
         if len(places):
             _, first, number = np.unique(code[places], return_index=True, return_counts=True)
-            yield words, [b" ".join(tokens[p:p + words]) for p in places[first].tolist()], number
-        if words < longest:
-            hashes = longer(hashes[:-1], hashes_of[ids[words - 1:]])
+            begun = places[first]
+            yield pc.binary_join_element_wise(*[texts.take(pa.array(ids[begun + i])) for i in range(length)], pa.scalar(b" ", pa.binary())), number
+        if length < longest:
+            hashes = longer(hashes[:-1], hashes_of[ids[length - 1:]])
             inside = []
             at = np.flatnonzero(alive)
             for number, p in enumerate(passes):
                 held = np.zeros(len(alive), bool)
-                held[at] = p.holds(words, hashes[at])
+                held[at] = p.holds(length, hashes[at])
                 inside.append(held | fresh[number] if number else held)
 
 
-def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterator[tuple[str, bytes, bytes]]:
-    """(language, text, words ahead): short texts together, long ones in parts."""
-    held, size = collections.defaultdict(list), 0
+def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterator[Unit]:
+    """Units to count: short texts together, long ones in parts; none holds many more words than ``unit``."""
+    units: dict[str, Unit] = {}
+    held: dict[str, list[bytes]] = collections.defaultdict(list)
+    size, piece = 0, min(unit, CHUNK)
+
+    def tokenise() -> None:
+        for lang, texts in held.items():
+            units.setdefault(lang, Unit(lang)).add(STOP.join(texts))
+        held.clear()
+
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for at, lang in enumerate(langs):
             text = batch.column(1)[at].as_buffer().to_pybytes().translate(_TABLE)
-            if len(text) > unit:
-                for part, ahead in segments(text, unit, longest):
-                    yield lang, part, ahead
+            if len(text) > piece:
+                mine = units.setdefault(lang, Unit(lang))
+                for part, ahead in segments(text, piece, longest):
+                    mine.add(part, ahead)
+                    if mine.size >= unit:
+                        yield mine
                 continue
             held[lang].append(text)
             size += len(text)
-            if size >= unit:
-                for one, texts in held.items():
-                    yield one, STOP.join(texts), b""
-                held, size = collections.defaultdict(list), 0
-    for one, texts in held.items():
-        yield one, STOP.join(texts), b""
+            if size >= piece:
+                tokenise()
+                size = 0
+                if sum(u.size for u in units.values()) >= unit:
+                    yield from [u for u in units.values() if u.size]
+                    units = {lang: u for lang, u in units.items() if len(units) <= LANGS}
+    tokenise()
+    yield from [u for u in units.values() if u.size]
 
 
 def _counted(texts: DataFrame, passes: list[dict[int, Broadcast | None]], longest: int, least: int, unit: int) -> DataFrame:
@@ -183,17 +232,17 @@ def _counted(texts: DataFrame, passes: list[dict[int, Broadcast | None]], longes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [Pass({m: None if shared is None else shared.value for m, shared in sets.items()}) for sets in passes]
         with np.errstate(over="ignore"):
-            for lang, text, ahead in _units(batches, unit, longest):
-                for words, phrases, counts in counts_of(lang, text, ahead, longest, known):
+            for one in _units(batches, unit, longest):
+                for phrases, counts in counts_of(one, longest, known):
                     for start in range(0, len(phrases), 65536):
-                        part = phrases[start:start + 65536]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(part)), pa.array(np.full(len(part), words, np.int32)),
-                             pa.array(part, pa.binary()).cast(pa.string()), pa.array(counts[start:start + 65536].astype(np.int64))],
-                            ["lang", "words", "phrase", "n"])
+                        part = phrases.slice(start, 65536)
+                        yield pa.RecordBatch.from_arrays([pa.array([one.lang] * len(part)), part.cast(pa.string()),
+                                                          pa.array(counts[start:start + 65536].astype(np.int64))], ["lang", "phrase", "n"])
 
     rows = texts.mapInArrow(run, COUNTED)
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
+    counted = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
+    return counted.select("lang", words.cast("int").alias("words"), "phrase", "n")
 
 
 def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
