@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,18 +81,39 @@ def test_a_failed_border_leads_to_an_expansion(spark, monkeypatch):
     assert passes == [1, 1]
 
 
+def test_phrases_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    """With hashes of two bits nearly all phrases share one; the result is the same."""
+    docs = corpus(13, 60, "abcdef")
+    df = spark.createDataFrame(docs, "text string, lang string")
+    wanted = rows(phrases.frequent_phrases(df))
+    plain, longer = phrases.word_hashes, phrases.longer
+    few = np.uint64(3)
+    monkeypatch.setattr(phrases, "word_hashes", lambda lang, words: plain(lang, words) & few)
+    monkeypatch.setattr(phrases, "longer", lambda hashes, word: longer(hashes, word) & few)
+    unit = phrases.Unit("en")
+    unit.add(b"a b c a b d")
+    assert len({h for _, found, _ in phrases.hash_counts(unit, 3, [None]) for h in found.tolist()}) <= 4
+    unit.add(b"a b c a b d")
+    named = {p: n for found, counts in phrases.named_counts(unit, 3, np.full(64, 2**64 - 1, np.uint64)) for p, n in zip(found.to_pylist(), counts.tolist())}
+    assert named[b"a b"] == 2 and named[b"c a b"] == 1 and named[b""] == 6
+    assert rows(phrases.frequent_phrases(df)) == wanted
+
+
 def test_full_sets_count_more_but_find_the_same(spark):
     docs = corpus(12, 80, "abcdefgh")
     df = spark.createDataFrame(docs, "text string, lang string")
     assert rows(phrases.frequent_phrases(df, bits=6)) == rows(phrases.frequent_phrases(df, bits=20))
 
 
+EVERYTHING = np.full(2, 2**64 - 1, np.uint64)
+
+
 def counted(parts):
     unit = phrases.Unit("en")
     seen = collections.Counter()
     for part, ahead in parts:
         unit.add(part, ahead)
-        for found, counts in phrases.counts_of(unit, 3, [phrases.Pass({1: None, 2: None})]):
+        for found, counts in phrases.named_counts(unit, 3, EVERYTHING):
             seen.update(dict(zip(found.to_pylist(), counts.tolist())))
     return seen
 

@@ -12,10 +12,15 @@ parts are frequent, or are counted in that very pass.  With that the counts are
 has frequent parts, and each of these is known to be frequent before the expansion or counted in it.
 The longest phrases need no proposal, as nothing is built on them.
 
+These passes count under 64-bit hashes, a number in place of a text in every row that is shuffled.
+Phrases that share a hash are counted together, so such a count is never too low, and what it
+rules out is not frequent.  The last pass counts what is left by the phrases themselves, and its
+counts are the result: exact, whatever the hashes do.
+
 What is proposed or frequent goes to the tasks as bit sets of fixed size (two bits a phrase).  A phrase that
-a bit set holds by chance is counted like the others, so counts are exact at any filling, and the sets
-never grow with the corpus; when they fill up, more phrases are counted.  Tasks count in units of about
-``UNIT`` words and hand on one row per different phrase of a unit, which Spark adds up.
+a bit set holds by chance is counted like the others, so the sets never grow with the corpus; when
+they fill up, more phrases are counted.  Tasks count in units of about ``UNIT`` words and hand on one
+row per different phrase of a unit, which Spark adds up.
 
 Null texts are empty, a null language is ``und``.  Texts without words add nothing.  Repeated rows
 count as often as they occur.  Texts of any length are taken in parts of ``CHUNK`` bytes, across
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import collections
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import stage
 
-UNIT = 2 << 20                                  # words
+UNIT = 1 << 20                                  # words
 CHUNK = 1 << 20                                 # bytes
 WORDS = 1 << 19
 LANGS = 64
@@ -46,7 +52,6 @@ ROOM = 32
 SHARE = 0.125
 SALTS = 64
 STOP = b"\xff"                                  # in no UTF-8 text
-COUNTED = "lang string, phrase string, n long"
 
 # What ends a piece, and what parts words.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -82,16 +87,6 @@ def holds(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-class Pass:
-    """A full pass: the bit sets it tests shorter phrases against, by their number of words."""
-
-    def __init__(self, sets: dict[int, np.ndarray | None]):
-        self.sets = sets
-
-    def holds(self, words: int, hashes: np.ndarray) -> np.ndarray:
-        return holds(self.sets[words], hashes)
-
-
 def segments(text: bytes, unit: int, longest: int) -> Iterator[tuple[bytes, bytes]]:
     """A text in parts of about ``unit`` bytes, each with the words that follow it inside its last piece."""
     start = 0
@@ -153,44 +148,88 @@ class Unit:
         return ids, none, words, hashes
 
 
-def counts_of(unit: Unit, longest: int, passes: list[Pass]) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of a unit, of what the last pass counts and no earlier one has; the empty phrase has the total of words."""
-    ids, none, words, hashes_of = unit.take()
-    texts = pa.array(words, pa.binary())
+class Level(NamedTuple):
+    """The phrases of one length in a unit, by the place where they begin."""
+
+    length: int
+    alive: np.ndarray
+    hashes: np.ndarray
+
+
+def _first(ids: np.ndarray, hashes: np.ndarray) -> Level:
+    return Level(1, ids > 0, hashes[ids])
+
+
+def _next(level: Level, ids: np.ndarray, hashes: np.ndarray) -> Level:
+    last = ids[level.length:]
+    return Level(level.length + 1, level.alive[:-1] & (last > 0), longer(level.hashes[:-1], hashes[last]))
+
+
+def _held(level: Level, bits: np.ndarray | None, among: np.ndarray | None = None) -> np.ndarray:
+    """The places whose phrase is in the bit set, of those in ``among``."""
+    among = level.alive if among is None else among
+    at, found = np.flatnonzero(among), np.zeros(len(level.alive), bool)
+    found[at] = holds(bits, level.hashes[at])
+    return found
+
+
+def hash_counts(unit: Unit, longest: int, passes: list[np.ndarray | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of words, hashes, counts) of what the last of ``passes`` counts in a unit and no earlier one has.
+
+    Each pass is the bit set that it tests parts of phrases against, None for one that holds all.
+    """
+    ids, none, words, hashes = unit.take()
     if len(passes) == 1:
         per_word = np.bincount(ids[~none], minlength=len(words))
         per_word[0] = 0
         present = np.flatnonzero(per_word)
-        yield pa.array([b""], pa.binary()), np.array([per_word.sum()])
-        yield texts.take(pa.array(present)), per_word[present]
-    # ``alive``: places where a phrase of the length at hand begins; ``code``: a number that tells these phrases apart.
-    alive, code, hashes = ids > 0, ids, hashes_of[ids]
-    inside = [p.holds(1, hashes_of)[ids] & alive for p in passes] if longest > 1 else []
+        yield 1, hashes[present], per_word[present]
+    if longest == 1 or len(ids) < 2:
+        return
+    level = _first(ids, hashes)
+    inside = [_held(level, bits) for bits in passes]
     for length in range(2, longest + 1):
         if len(ids) < length:
             return
-        alive = alive[:-1] & (ids[length - 1:] > 0)
-        due = [i[:-1] & i[1:] & alive for i in inside]
-        seen, fresh = np.zeros(len(alive), bool), []
-        for one in due:
-            fresh.append(one & ~seen)
-            seen |= one
+        level = _next(level, ids, hashes)
+        seen, fresh = np.zeros(len(level.alive), bool), []
+        for one in inside:
+            due = one[:-1] & one[1:] & level.alive
+            fresh.append(due & ~seen)
+            seen |= due
+        now = fresh[-1] & ~none[:len(level.alive)]
+        if now.any():
+            yield (length, *np.unique(level.hashes[now], return_counts=True))
+        if length < longest:
+            inside = [_held(level, bits) | fresh[n] if n else _held(level, bits) for n, bits in enumerate(passes)]
+
+
+def named_counts(unit: Unit, longest: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of what the bit set holds in a unit; the empty phrase has the total of words."""
+    ids, none, words, hashes = unit.take()
+    texts = pa.array(words, pa.binary())
+    per_word = np.bincount(ids[~none], minlength=len(words))
+    per_word[0] = 0
+    yield pa.array([b""], pa.binary()), np.array([per_word.sum()])
+    present = np.flatnonzero((per_word > 0) & holds(bits, hashes))
+    yield texts.take(pa.array(present)), per_word[present]
+    if longest == 1 or len(ids) < 2:
+        return
+    level, code = _first(ids, hashes), ids
+    frequent = _held(level, bits)
+    for length in range(2, longest + 1):
+        if len(ids) < length:
+            return
+        level = _next(level, ids, hashes)
+        frequent = _held(level, bits, frequent[:-1] & frequent[1:] & level.alive)
         if (int(code.max(initial=0)) + 1) * len(words) >= 2 ** 62:
             code = np.unique(code, return_inverse=True)[1]
-        code = code[:-1] * len(words) + ids[length - 1:]
-        places = np.flatnonzero(fresh[-1] & ~none[:len(alive)])
+        code = code[:-1] * len(words) + ids[length - 1:]         # tells phrases apart, as hashes might not
+        places = np.flatnonzero(frequent & ~none[:len(frequent)])
         if len(places):
             _, first, number = np.unique(code[places], return_index=True, return_counts=True)
             begun = places[first]
             yield pc.binary_join_element_wise(*[texts.take(pa.array(ids[begun + i])) for i in range(length)], pa.scalar(b" ", pa.binary())), number
-        if length < longest:
-            hashes = longer(hashes[:-1], hashes_of[ids[length - 1:]])
-            inside = []
-            at = np.flatnonzero(alive)
-            for number, p in enumerate(passes):
-                held = np.zeros(len(alive), bool)
-                held[at] = p.holds(length, hashes[at])
-                inside.append(held | fresh[number] if number else held)
 
 
 def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterator[Unit]:
@@ -227,80 +266,74 @@ def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterat
     yield from [u for u in units.values() if u.size]
 
 
-def _counted(texts: DataFrame, passes: list[dict[int, Broadcast | None]], longest: int, least: int, unit: int) -> DataFrame:
-    """The frequent phrases among those that the last of ``passes`` (bit sets by number of words) is the first to count."""
+def _counted(texts: DataFrame, passes: list[Broadcast | None], longest: int, least: int, unit: int) -> DataFrame:
+    """(hash, words, n) of what the last of ``passes`` is the first to count and finds at least ``least`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [Pass({m: None if shared is None else shared.value for m, shared in sets.items()}) for sets in passes]
+        known = [None if shared is None else shared.value for shared in passes]
         with np.errstate(over="ignore"):
             for one in _units(batches, unit, longest):
-                for phrases, counts in counts_of(one, longest, known):
+                for words, hashes, counts in hash_counts(one, longest, known):
+                    for start in range(0, len(hashes), 65536):
+                        part = hashes[start:start + 65536]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(part.view(np.int64)), pa.array(np.full(len(part), words, np.int32)),
+                             pa.array(counts[start:start + 65536].astype(np.int64))], ["hash", "words", "n"])
+
+    rows = texts.mapInArrow(run, "hash long, words int, n long")
+    return rows.groupBy("hash").agg(F.max("words").alias("words"), F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def _named(texts: DataFrame, shared: Broadcast, longest: int, least: int, unit: int) -> DataFrame:
+    """(lang, words, phrase, n) of the frequent phrases that the bit set holds, and with 0 words the total per language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for one in _units(batches, unit, longest):
+                for phrases, counts in named_counts(one, longest, shared.value):
                     for start in range(0, len(phrases), 65536):
                         part = phrases.slice(start, 65536)
                         yield pa.RecordBatch.from_arrays([pa.array([one.lang] * len(part)), part.cast(pa.string()),
                                                           pa.array(counts[start:start + 65536].astype(np.int64))], ["lang", "phrase", "n"])
 
-    rows = texts.mapInArrow(run, COUNTED)
+    rows = texts.mapInArrow(run, "lang string, phrase string, n long")
     counted = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
     return counted.select("lang", words.cast("int").alias("words"), "phrase", "n")
 
 
-def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    """Hashes of (lang, phrase) rows, as ``counts_of`` makes them."""
-    out = np.empty(batch.num_rows, np.uint64)
-    by_lang = collections.defaultdict(list)
-    for at, lang in enumerate(batch.column(0).to_pylist()):
-        by_lang[lang].append(at)
-    phrases = batch.column(1).to_pylist()
-    for lang, places in by_lang.items():
-        parts = [phrases[p].encode().split(b" ") for p in places]
-        hashes = word_hashes(lang, [w for part in parts for w in part]).reshape(len(parts), -1)
-        done = hashes[:, 0]
-        for column in range(1, hashes.shape[1]):
-            done = longer(done, hashes[:, column])
-        out[places] = done
-    return out
-
+def bit_set(hashes: DataFrame, bits: int) -> Broadcast:
+    """A table's ``hash`` column as a bit set (runs two jobs).
 
-def bit_set(phrases: DataFrame, words: int, bits: int) -> Broadcast:
-    """The phrases of so many words as a bit set (runs two jobs).
-
-    It has ``ROOM`` bits a phrase, rounded up to a power of two, and never more than
+    It has ``ROOM`` bits a hash, rounded up to a power of two, and never more than
     ``2**bits`` in all.  That size is all the driver and the tasks get.
     """
-    rows = phrases.where(F.col("words") == words).select("lang", "phrase")
-    bits = max(6, min(bits, (rows.count() * ROOM).bit_length()))
+    bits = max(6, min(bits, (hashes.count() * ROOM).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64((1 << bits) - 1)
         for batch in batches:
             if batch.num_rows:
-                with np.errstate(over="ignore"):
-                    hashes = _phrase_hashes(batch)
-                places = np.concatenate([hashes & mask, (hashes >> np.uint64(32)) & mask])
+                held = batch.column(0).to_numpy().view(np.uint64)
+                places = np.concatenate([held & mask, (held >> np.uint64(32)) & mask])
                 slots, owner = np.unique(places >> np.uint64(6), return_inverse=True)
                 values = np.zeros(len(slots), np.uint64)
                 np.bitwise_or.at(values, owner, np.uint64(1) << (places & np.uint64(63)))
                 yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(values.view(np.int64))], ["slot", "bits"])
 
-    found = rows.mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = hashes.select("hash").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(out)
+    return hashes.sparkSession.sparkContext.broadcast(out)
 
 
-def _outside(phrases: DataFrame, words: int, shared: Broadcast) -> bool:
-    """Whether a phrase of so many words is not in the bit set (runs a job)."""
+def _outside(hashes: DataFrame, shared: Broadcast) -> bool:
+    """Whether a hash is not in the bit set (runs a job)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                with np.errstate(over="ignore"):
-                    missing = int((~holds(shared.value, _phrase_hashes(batch))).sum())
-                if missing:
-                    yield pa.RecordBatch.from_arrays([pa.array([missing])], ["missing"])
+            missing = int((~holds(shared.value, batch.column(0).to_numpy().view(np.uint64))).sum())
+            if missing:
+                yield pa.RecordBatch.from_arrays([pa.array([missing])], ["missing"])
 
-    rows = phrases.where(F.col("words") == words).select("lang", "phrase").mapInArrow(run, "missing long")
-    return rows.agg(F.sum("missing")).first()[0] is not None
+    return hashes.select("hash").mapInArrow(run, "missing long").agg(F.sum("missing")).first()[0] is not None
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, share: float = SHARE,
@@ -308,19 +341,19 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     """(lang, words, phrase, n) of all frequent phrases of up to ``longest`` words, and with 0 words the total per language.
 
     ``share`` of the texts, chosen by their hash, propose what they hold at least twice, or as often
-    as ``least`` times the share.  Runs jobs for the sample and for one or two full passes.
+    as ``least`` times the share.  Runs jobs for the sample and for two or three full passes.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    shorter = range(1, longest)
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     lowered = min(least, max(2, int(least * share)))
-    proposed = stage(_counted(sample, [dict.fromkeys(shorter[:-1])], longest - 1, lowered, unit), "phrases-proposed")
-    passes = [{m: bit_set(proposed, m, bits) for m in shorter}]
+    proposed = stage(_counted(sample, [None], max(longest - 1, 1), lowered, unit), "phrases-proposed")
+    passes = [bit_set(proposed, bits)]
     found = stage(_counted(texts, passes, longest, least, unit), "phrases-counted")
-    if not any(_outside(found, m, passes[0][m]) for m in shorter):
-        return found
-    passes.append({m: bit_set(found, m, bits) for m in shorter})
-    return found.unionByName(stage(_counted(texts, passes, longest, least, unit), "phrases-expanded"))
+    parts = found.where(F.col("words") < longest)
+    if _outside(parts, passes[0]):
+        passes.append(bit_set(parts, bits))
+        found = found.unionByName(stage(_counted(texts, passes, longest, least, unit), "phrases-expanded"))
+    return stage(_named(texts, bit_set(found, bits), longest, least, unit), "phrases-named")
 
 
 def _joined(words: Column) -> Column:
