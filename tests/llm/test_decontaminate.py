@@ -3,6 +3,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import decontaminate as d
 
 ITEMS = [(1, "One two three four five six seven eight nine ten eleven"), (2, "tiny item"), (3, None), (4, ""),
@@ -70,3 +72,24 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert d.decontaminate(edge_docs, items).count() == edge_docs.count() - 5
     assert d.decontaminate(edge_docs, items.limit(0)).count() == edge_docs.count()
     assert d.report(no_docs, items).count() == 0
+
+
+def test_documents_without_hits_are_dealt_evenly(spark, sf_dir):
+    """With broadcasts off the last join shuffles all documents; those without a hit have no key in common."""
+    docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    many = docs.select("doc_id", "text").unionAll(docs.select("doc_id", F.lit("nothing of the kind").alias("text"))).repartition(8)
+    limit, parts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = d.report(many, benchmark)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        keyed = many.select(F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string")).alias("k")).repartition(16, "k")
+        sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
+        assert found.count() == many.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert "coalesce(" in plan and len(sizes) == 16 and max(sizes) < 3 * min(sizes)

@@ -162,7 +162,9 @@ def report(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **options)
                          F.size("words").cast("long").alias("n_words"), "hits")
     rows = rows.select(id, "at", "n_words", F.explode_outer("hits").alias("hit"))
     items = grams.groupBy("gram").agg(F.collect_set("item").alias("items"))
-    joined = rows.join(items, F.col("hit.gram") == F.col("gram"), "left").select(
+    # A document without hits gets a key of its own, which no gram has, so that such rows are dealt evenly.
+    key = F.coalesce(F.col("hit.gram"), F.concat(F.lit("\x00"), F.col("at").cast("string")))
+    joined = rows.join(items, key == F.col("gram"), "left").select(
         id, "at", "n_words", F.when(F.col("gram").isNotNull(), F.struct("hit.start", "hit.len")).alias("place"), "items")
     found = joined.groupBy("at", id, "n_words").agg(
         F.array_sort(F.collect_set("place")).alias("places"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
