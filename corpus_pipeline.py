@@ -18,10 +18,16 @@ SHARDS = 40
 book = QueryBook()
 
 
+def carried(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns a stage works on beside the whole document, so that none it adds can take the place of one."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document"), *columns)
+
+
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays below the threshold, learned from the labels of ``docs``."""
     labels = toxicity.toxic_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, toxicity.train(docs, labels)).where(~F.col("toxic")).select(*docs.columns)
+    scored = toxicity.score(carried(docs, "doc_id", "text"), toxicity.train(docs.select("doc_id", "text"), labels))
+    return scored.where(~F.col("toxic")).select("_document.*")
 
 
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +42,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights; documents taken twice appear twice."""
-    return mixing.taken_rows(mixing.mix(docs), docs.columns)
+    return mixing.taken_rows(mixing.mix(carried(docs, "doc_id", "text", "source")), ["_document"]).select("_document.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

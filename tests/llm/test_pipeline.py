@@ -62,3 +62,24 @@ def test_the_mix_and_its_shards(steps):
 
 def test_run_does_all_stages(spark, sf_dir, steps):
     assert rows_of(corpus_pipeline.run(spark, sf_dir)) == rows_of(steps[-1][2])
+
+
+def test_stages_leave_columns_of_clashing_names_alone(spark, sf_dir, edge_docs):
+    """Edge rows among the documents; every stage but the last gives back rows as they came in, value by value."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").limit(60)
+    clash = [c for c in edge_docs.columns if c not in docs.columns] + ["source_size"]
+    more = edge_docs.select("doc_id", "text", "lang", "source").unionByName(docs).selectExpr("*", *[f"concat('{c}!', doc_id) AS `{c}`" for c in clash])
+    rows = more
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        after = stage(step(spark, rows, sf_dir), "test-clash")
+        assert after.columns == more.columns, name
+        assert after.distinct().join(rows.distinct(), [after[c].eqNullSafe(rows[c]) for c in more.columns], "left_anti").count() == 0, name
+        rows = after
+    sharded = corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir)
+    assert sharded.count() == rows.count() and sharded.where("size <> concat('size!', doc_id)").count() == 0
+
+
+def test_stages_take_empty_tables(spark, sf_dir, no_docs):
+    for _, step in corpus_pipeline.STAGES:
+        found = step(spark, no_docs, sf_dir)
+        assert found.count() == 0 and set(no_docs.columns) <= set(found.columns)

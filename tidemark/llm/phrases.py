@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import stage
 
-UNIT = 1 << 20                                  # words
+UNIT = 1 << 19                                  # words
 CHUNK = 1 << 20                                 # bytes
 WORDS = 1 << 19
 LANGS = 64
