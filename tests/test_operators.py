@@ -309,3 +309,22 @@ def test_numbered_gives_every_row_its_place(spark):
     found = numbered(df, F.col("v").desc())
     assert rows(found.select("place", "v")) == sorted([(i + 1, 999 - i) for i in range(1000)], key=repr)
     assert numbered(df.limit(0), "v").count() == 0
+
+
+@pytest.mark.parametrize("groups", [1, 3, 400])
+def test_numbered_within_groups_across_tasks(spark, groups):
+    """Groups that fill several tasks, share tasks, and hold a null; equal rows keep different places."""
+    df = spark.range(1500).select((F.col("id") * 37 % 1500 // 2).alias("v"), F.when(F.col("id") % groups > 0, F.col("id") % groups).alias("g"))
+    found = numbered(df.repartition(7), F.col("v").desc(), within=["g"])
+    wanted, seen = [], {}
+    for v, g in sorted(((r["v"], r["g"]) for r in df.collect()), key=lambda r: (str(r[1]), -r[0])):
+        seen[g] = seen.get(g, 0) + 1
+        wanted.append((g, seen[g], v))
+    assert rows(found.select("g", "place", "v")) == sorted(wanted, key=repr)
+    assert dict(found.dtypes)["place"] == "bigint" and found.columns == ["v", "g", "place"]
+    assert numbered(df.limit(0), "v", within=["g"]).count() == 0
+
+
+def test_places_need_one_write_and_no_single_task(spark):
+    tree = numbered(spark.range(100), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in tree and "Scan parquet" in tree

@@ -17,9 +17,9 @@ from tidemark.sources.catalog import catalog_tables, register, scan_table, unreg
 from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
 from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
                                         read_published, table_report, validate_dataset)
-from tidemark.sources.records import (backlog_options, decode_values, read_backlog, stream_options,
+from tidemark.sources.records import (LATEST, backlog_options, decode_values, partition_ends, read_backlog, stream_options,
                                       stream_records, to_records, write_records)
-from tidemark.streaming.output import append_result
+from tidemark.streaming.output import BatchTable, append_result, drain, for_each_batch
 
 READINGS = "day DATE, clock STRING, home STRING, used DOUBLE, outside DOUBLE, region STRING"
 HEADER = "day,clock,home,used,outside,region"
@@ -201,3 +201,112 @@ def test_a_cluster_has_to_name_a_shared_folder():
                               sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(unnamed)
+
+
+def test_empty_files_and_misplaced_headers_are_seen(spark, folder):
+    put(folder, "good.csv", [HEADER, *ROWS])
+    assert validate_dataset(spark, folder, READINGS).first()["healthy"]
+    put(folder, "odd name+%41é.csv", [HEADER, *ROWS, HEADER])
+    os.makedirs(os.path.join(folder, "deep"))
+    put(os.path.join(folder, "deep"), "turned.csv", [ROWS[0], HEADER, *ROWS[1:]])
+    open(os.path.join(folder, "none.csv"), "w").close()
+    put(folder, "blank.csv", ["", "", HEADER, *ROWS])
+    manifest = {r["file_name"]: (r["rows"], r["corrupt_rows"], r["has_header"]) for r in file_manifest(spark, folder, READINGS).collect()}
+    assert manifest == {"good.csv": (3, 0, True), "odd name+%41é.csv": (4, 1, True), "turned.csv": (4, 1, False),
+                        "none.csv": (0, 0, False), "blank.csv": (3, 0, True)}
+    sums = {r["file_name"]: r["checksum"] for r in file_manifest(spark, folder, READINGS).collect()}
+    assert sums["good.csv"] == sums["blank.csv"] and sums["none.csv"] == 0
+    report = validate_dataset(spark, folder, READINGS).first()
+    assert (report["files"], report["healthy"], report["has_header"]) == (5, False, False)
+    digests = {os.path.basename(r["path"]): (r["length"], r["rows"]) for r in file_digests(spark, folder).collect()}
+    assert digests["none.csv"] == (0, 0) and digests["odd name+%41é.csv"][1] == 5 and len(digests) == 5
+
+
+def test_one_empty_file_beside_a_good_one_is_unhealthy(spark, folder):
+    put(folder, "good.csv", [HEADER, *ROWS])
+    open(os.path.join(folder, "none.csv"), "w").close()
+    report = validate_dataset(spark, folder, READINGS).first()
+    assert (report["files"], report["rows"], report["healthy"]) == (2, 3, False)
+
+
+def test_a_large_file_in_many_splits_has_its_header_judged_once(spark, folder):
+    put(folder, "large.csv", [HEADER, *(ROWS * 3000)])
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        row, = file_manifest(spark, folder, READINGS).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert (row["rows"], row["corrupt_rows"], row["has_header"]) == (9000, 0, True)
+
+
+def _numbers(spark, low, high, partition="id % 3"):
+    return to_records(spark.range(low, high), "id", "id", partition=F.expr(partition))
+
+
+def _held(records):
+    return sorted((r["partition"], r["offset"], int(r["key"])) for r in records.collect())
+
+
+def test_offsets_go_on_over_writes_and_topics(spark, folder):
+    path = os.path.join(folder, "records")
+    assert partition_ends(spark, path).count() == 0
+    by_number = F.col("key").cast("string").cast("long")
+    write_records(_numbers(spark, 0, 100).repartition(5), "files", path, topic="a", order_by=by_number)
+    write_records(_numbers(spark, 0, 10), "files", path, topic="b", order_by=by_number)
+    write_records(_numbers(spark, 0, 0), "files", path, topic="a")
+    write_records(_numbers(spark, 100, 250, "CASE WHEN id < 220 THEN 0 ELSE 7 END").repartition(4), "files", path, topic="a", order_by=by_number)
+    found = _held(read_backlog(spark, "files", path).where("topic = 'a'"))
+    ids = {p: [*range(p, 100, 3)] for p in range(3)}
+    ids[0] += range(100, 220)
+    ids[7] = list(range(220, 250))
+    assert found == sorted((p, offset, i) for p, held in ids.items() for offset, i in enumerate(held))
+    assert rows(partition_ends(spark, path).where("topic = 'b'")) == [("b", 0, 4), ("b", 1, 3), ("b", 2, 3)]
+
+
+def test_offset_ranges_open_only_the_writes_they_need(spark, folder):
+    path = os.path.join(folder, "records")
+    by_number = F.col("key").cast("string").cast("long")
+    for n in range(4):
+        write_records(_numbers(spark, 100 * n, 100 * n + 100, "id % 2"), "files", path, topic="t", order_by=by_number)
+    start, end = {"t": {0: 60, 1: 70}}, {"t": {0: 90, "1": 71}}
+    found = read_backlog(spark, "files", path, start=start, end=end)
+    assert _held(found) == sorted([(0, o, 2 * o) for o in range(60, 90)] + [(1, 70, 141)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(write" in plan and "GreaterThanOrEqual(offset,60)" in plan
+    assert {f.split("write=")[1][0] for f in found.where("true").select("key").inputFiles()} >= {"2"}
+    text = backlog_options("kafka", servers="h:1", topic="t", start=start, end=end)
+    assert text["startingOffsets"] == '{"t": {"0": 60, "1": 70}}' and text["endingOffsets"] == '{"t": {"0": 90, "1": 71}}'
+    same = read_backlog(spark, "files", path, start=text["startingOffsets"], end=text["endingOffsets"])
+    assert _held(same) == _held(found)
+    rest = read_backlog(spark, "files", path, start={"t": {0: LATEST, 1: 195}})
+    assert _held(rest) == [(1, o, 2 * o + 1) for o in range(195, 200)]
+    assert read_backlog(spark, "files", path, start={"t": {0: LATEST, 1: LATEST}}).count() == 0
+
+
+def test_streams_start_at_offsets_and_keep_to_the_cap(spark, folder):
+    path = os.path.join(folder, "records")
+    write_records(_numbers(spark, 0, 40, "id % 2"), "files", path, topic="t", records_per_file=5, order_by=F.col("key").cast("string").cast("long"))
+    sizes = []
+    arriving = stream_records(spark, "files", path, start={"t": {0: 15, 1: LATEST}}, per_trigger=5)
+    table = BatchTable(spark, os.path.join(folder, "out"))
+    drain(for_each_batch(arriving, lambda batch, n: (sizes.append(batch.count()), table(batch, n)), checkpoint=f"{folder}/checkpoint"))
+    assert max(sizes) <= 5 and len(sizes) >= 8
+    assert _held(table.all_batches()) == [(0, o, 2 * o) for o in range(15, 20)]
+    # What is written after "latest" arrives.
+    late = stream_records(spark, "files", path, start="latest")
+    write_records(_numbers(spark, 40, 44, "id % 2"), "files", path, topic="t", records_per_file=5, order_by=F.col("key").cast("string").cast("long"))
+    assert _held(append_result(late)) == [(0, 20, 40), (0, 21, 42), (1, 20, 41), (1, 21, 43)]
+    with pytest.raises(ValueError, match="exceeds the cap"):
+        stream_records(spark, "files", path, per_trigger=4)
+
+
+def test_a_write_that_dies_leaves_a_gap_and_no_offset_twice(spark, folder):
+    path = os.path.join(folder, "records")
+    write_records(_numbers(spark, 0, 4, "0"), "files", path, topic="t")
+    bad = _numbers(spark, 4, 8, "0").withColumn("value", F.expr("CASE WHEN key = X'36' THEN CAST(raise_error('lost') AS BINARY) ELSE value END"))
+    with pytest.raises(Exception, match="lost"):
+        write_records(bad, "files", path, topic="t")
+    write_records(_numbers(spark, 8, 10, "0"), "files", path, topic="t")
+    offsets = [o for _, o, _ in _held(read_backlog(spark, "files", path))]
+    assert len(set(offsets)) == len(offsets) == 6

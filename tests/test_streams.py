@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -354,3 +356,95 @@ def test_compaction_keeps_the_newest_row_per_key(spark, folder, feed):
             table.compact("lang")
             assert rows(table.all_batches().select("lang", "n")) == [("en", 2), ("fr", 1)]
     assert rows(table.latest_by("lang").select("lang", "n")) == [("de", 1), ("en", 3), ("fr", 1)]
+
+
+def test_compaction_is_found_by_any_reader(spark, folder, feed):
+    """A second object, as in a second process, opens the compacted rows and later batches only."""
+    path = f"{folder}/totals"
+    table = BatchTable(spark, path)
+    pushes = [["en", "fr", None], ["en", None], ["de", "en"], ["fr"], ["en", "xx", None]]
+    for n, langs in enumerate(pushes):
+        feed.push(*[(at(n), lang) for lang in langs])
+        drain(for_each_batch(running_count(feed.stream(), "lang"), table, "update", feed.checkpoint))
+        if n in (1, 3):
+            BatchTable(spark, path).compact("lang")
+    other = BatchTable(spark, path)
+    wanted = {}
+    for lang in sum(pushes, []):
+        wanted[lang] = wanted.get(lang, 0) + 1
+    assert rows(other.latest_by("lang").select("lang", "n")) == sorted(wanted.items(), key=repr)
+    assert other.last_compaction()["upto"] == 3
+    batches = other.all_batches().groupBy("batch").count()
+    assert other.all_batches().count() == 4 + 3 and {r["batch"] for r in batches.collect()} <= {0, 1, 2, 3, 4}
+    assert spark.catalog.listTables() == [t for t in spark.catalog.listTables() if "compact" not in t.name]
+
+
+def test_a_second_compaction_joins_buckets_without_shuffling_the_first(spark, folder):
+    path = f"{folder}/totals"
+    table = BatchTable(spark, path)
+    table(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("n")), 0)
+    table.compact("k", buckets=3)
+    table(spark.range(5).select(F.col("id").alias("k"), F.lit(2).alias("n")), 1)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        newest = BatchTable(spark, path).latest_by("k")
+        plan = newest._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 3 out of 3" in plan
+        join = plan[plan.index("SortMergeJoin"):plan.index("SelectedBucketsCount: 3 out of 3")]
+        assert "Exchange" not in join
+        assert newest.groupBy("n").count().orderBy("n").collect() == [(1, 995), (2, 5)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_compaction_that_dies_before_its_log_leaves_no_trace(spark, folder, monkeypatch):
+    path = f"{folder}/totals"
+    table = BatchTable(spark, path)
+    table(spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("n")), 0)
+    monkeypatch.setattr(spark, "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        table.compact("k")
+    monkeypatch.undo()
+    assert table.last_compaction() is None and BatchTable(spark, path).latest_by("k").count() == 10
+
+
+COMPACT_ELSEWHERE = """
+from tidemark import build_session
+from tidemark.streaming.output import BatchTable
+spark = build_session("second", "local[2]")
+table = BatchTable(spark, "{0}")
+print("FOUND", table.last_compaction()["upto"], sorted((r["k"], r["n"]) for r in table.latest_by("k").where("k < 3").collect()))
+"""
+
+
+def test_another_process_follows_the_log(spark, folder):
+    path = f"{folder}/totals"
+    table = BatchTable(spark, path)
+    table(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("n")), 0)
+    table.compact("k")
+    table(spark.range(1).select(F.col("id").alias("k"), F.lit(7).alias("n")), 1)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", COMPACT_ELSEWHERE.format(path)], cwd=root, capture_output=True, text=True, timeout=180)
+    assert "FOUND 0 [(0, 7), (1, 1), (2, 1)]" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_batch_lost_between_writing_and_committing_is_repeated(spark, folder, feed):
+    """The rerun replaces what the lost batch wrote; append-like batches are not doubled either."""
+    table = BatchTable(spark, f"{folder}/rows")
+    died = []
+
+    def once(batch, number):
+        table(batch, number)
+        if number == 1 and not died:
+            died.append(number)
+            raise RuntimeError("lost")
+
+    for push in ([(at(0), "a")], [(at(1), "b"), (at(2), "c")]):
+        feed.push(*push)
+        query = for_each_batch(feed.stream(), once, checkpoint=feed.checkpoint)
+        try:
+            drain(query)
+        except StreamingQueryException:
+            drain(for_each_batch(feed.stream(), once, checkpoint=feed.checkpoint))
+    assert died == [1] and rows(table.all_batches().select("lang", "batch")) == [("a", 0), ("b", 1), ("c", 1)]

@@ -19,6 +19,7 @@ from tidemark.plans.posts import dashboard_posts, original_posts, timed_posts
 from tidemark.registry import QueryBook, read
 from tidemark.scratch import scratch_path, stage
 from tidemark.sources.records import stream_records, to_records, write_records
+from tidemark.streaming.joins import join_streams_left
 from tidemark.streaming.output import (BatchTable, append_result, append_to, complete_result, drain,
                                        for_each_batch, sort_out, updated_result)
 from tidemark.streaming.replay import land, stream_events, stream_table
@@ -450,6 +451,29 @@ def domain_comparison(spark, sf_dir):
         "domain", "original_count", "reshare_count"))
 
 
+@book.query("JOIN-4 STR-9", """
+WITH clicks AS (SELECT event_id, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+                       CASE WHEN user_id % 2 = 0 THEN 'hot' ELSE (user_id % 10)::VARCHAR END AS domain
+                FROM events WHERE event_type = 'click'),
+     counts AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+                       CASE WHEN user_id % 2 = 0 THEN 'hot' ELSE (user_id % 10)::VARCHAR END AS domain, count(*) AS n
+                FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+     mark AS (SELECT least((SELECT max(window_end) FROM clicks), (SELECT max(window_end) FROM counts)) - INTERVAL 2 HOUR AS mark)
+SELECT event_id, window_end, domain, coalesce(n, 0) AS purchases
+FROM clicks LEFT JOIN counts USING (window_end, domain), mark WHERE n IS NOT NULL OR window_end <= mark""")
+def hot_domain_comparison(spark, sf_dir):
+    """Every click with the purchases of its domain and hour; half of all clicks are of one domain, spread over eight states."""
+    events = read(spark, sf_dir, "events")
+    domain = F.when(F.col("user_id") % 2 == 0, "hot").otherwise((F.col("user_id") % 10).cast("string")).alias("domain")
+    rows = events.select("event_id", "event_type", F.window(event_time("ts"), "1 hour")["end"].alias("window_end"), domain)
+    clicks, counts = scratch_path(spark, "clicks"), scratch_path(spark, "purchases")
+    land(rows.where("event_type = 'click'").drop("event_type"), clicks)
+    land(rows.where("event_type = 'purchase'").groupBy("window_end", "domain").agg(F.count(F.lit(1)).alias("n")), counts)
+    joined = join_streams_left(stream_table(spark, clicks), stream_table(spark, counts), ["window_end", "domain"], "event_id", "n",
+                               delay="2 hours", right_as="purchases", salts=8, salt_by=["event_id"])
+    return append_result(joined.withColumn("window_end", plain_time("window_end")))
+
+
 @book.query("STR-14 JOIN-4", DOMAIN_WINDOWS + """
      one AS (SELECT 1)
 SELECT event_type AS topic, domain, domain = '4' AS bad, count(*) AS records FROM windows GROUP BY ALL""")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -23,8 +25,29 @@ SCALE_SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that they need no copy of it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), "tidemark.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.join("tidemark", os.path.relpath(path, here)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def pin_session(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a session made elsewhere."""
+    ship_package(spark)
     for name, value in RESULT_SETTINGS.items():
         if spark.conf.get(name) != value:
             spark.conf.set(name, value)
@@ -64,4 +87,5 @@ def build_session(app: str = "tidemark", master: str | None = None,
             builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark

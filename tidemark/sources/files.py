@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.payload import CORRUPT, with_corrupt_field
-from tidemark.scratch import scratch_path
 
 
 def as_struct(schema: T.StructType | str) -> T.StructType:
@@ -50,24 +51,48 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str,
             .csv(path))
 
 
+# How the types of semi-structured values are written, and what they are read as.
+VALUE_TYPES = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING", "FLOAT": "DOUBLE", "TINYINT": "BIGINT", "SMALLINT": "BIGINT", "INT": "BIGINT"}
+
+
+def value_schema(written: str) -> T.DataType:
+    """The type to read JSON with, from the merged type of its values.
+
+    Fractions are doubles; what is null throughout, or differs in kind, is text.
+    """
+    def read_as(found: re.Match) -> str:
+        if found[1]:                    # a quoted name
+            return found[1]
+        return "DOUBLE" if found[2].startswith("DECIMAL") else VALUE_TYPES.get(found[2], found[2])
+
+    types = re.sub(r"(`(?:[^`]|``)*`)|(DECIMAL\(\d+,\s*\d+\)|\b[A-Z]+\b(?!:))", read_as, written)
+    return T.DataType.fromDDL(types.replace("STRUCT<>", "STRING"))
+
+
 def infer_schema(df: DataFrame, column: str, n: int | None = None, order_by: str | None = None,
                  declared: T.StructType | str | None = None) -> T.StructType:
-    """Schema of the JSON texts in ``column`` (runs jobs).
+    """Schema of the JSON objects in ``column`` (runs a job).
 
-    All texts are read, so a field that only one of them has is found.  ``n`` asks for a
-    sample instead, the first ``n`` by ``order_by``, which then has to be given; a field
-    missing from it is unseen.  Fields in ``declared`` are added and override what was seen.
+    All texts are read, so a field that only one of them has is found.  The schema is an
+    aggregate: every task merges those of its texts, and only merged schemas are shuffled.
+    Texts that are no JSON objects are passed over.  ``n`` asks for a sample instead, the first
+    ``n`` by ``order_by``, which then has to be given; a field missing from it is unseen.
+    Fields in ``declared`` are added and override what was seen.
     """
     if n is not None and order_by is None:
         raise ValueError("a sample needs order_by, else it differs from run to run")
     texts = df.where(F.col(column).isNotNull())
     sample = texts if n is None else texts.orderBy(order_by).limit(n)
-    path = scratch_path(df.sparkSession, "schema-texts")
-    # Line breaks between tokens mean nothing in JSON, and lines are what is read back.
-    sample.select(F.regexp_replace(F.col(column).cast("string"), "[\\r\\n]+", " ").alias("value")).write.text(path)
-    seen = df.sparkSession.read.json(path).schema
+    seen = value_schema(merged_schema(sample, column).first()[0] or "OBJECT<>")
+    fields = seen.fields if isinstance(seen, T.StructType) else []
     if declared is None:
-        return seen
+        return T.StructType(fields)
     wanted = as_struct(declared)
-    rest = [f for f in seen.fields if f.name not in wanted.fieldNames()]
-    return T.StructType([*wanted.fields, *rest])
+    return T.StructType([*wanted.fields, *[f for f in fields if f.name not in wanted.fieldNames()]])
+
+
+def merged_schema(df: DataFrame, column: str) -> DataFrame:
+    """One row: the merged type of the JSON objects in ``column`` as Spark writes it, null without any."""
+    value = F.try_parse_json(F.col(column).cast("string"))
+    is_object = F.schema_of_variant(value).startswith("OBJECT<")
+    return df.agg(F.schema_of_variant_agg(F.when(is_object, value)).alias("merged"))

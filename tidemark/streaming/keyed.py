@@ -7,10 +7,12 @@ and is read as it is needed: an entry of a map or the items of a list, not the w
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any, NamedTuple
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -125,5 +127,9 @@ def fold_state(stream: DataFrame, keys: Sequence[str], states: Mapping[str, Valu
     to a further stateful operator.  Needs the RocksDB state store.
     """
     processor = _Fold(states, on_rows, after, on_timer, time)
+    # Spark sets state up in a worker that does not get the files of a session; what it runs travels by value.
+    for part in {__package__, *(f.__module__.rpartition(".")[0] for f in (on_rows, after, on_timer) if f is not None)}:
+        if part.startswith(__package__.partition(".")[0] + "."):
+            cloudpickle.register_pickle_by_value(sys.modules[part])
     mode_of = {"event": "EventTime", "clock": "ProcessingTime", None: "None"}
     return stream.groupBy(*keys).transformWithStateInPandas(processor, output, mode, mode_of[time], None, time_column)
