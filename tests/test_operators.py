@@ -314,7 +314,7 @@ def test_numbered_gives_every_row_its_place(spark):
 @pytest.mark.parametrize("groups", [1, 3, 400])
 def test_numbered_within_groups_across_tasks(spark, groups):
     """Groups that fill several tasks, share tasks, and hold a null; equal rows keep different places."""
-    df = spark.range(1500).select((F.col("id") * 37 % 1500 // 2).alias("v"), F.when(F.col("id") % groups > 0, F.col("id") % groups).alias("g"))
+    df = spark.range(1500).select(F.floor(F.col("id") * 37 % 1500 / 2).alias("v"), F.when(F.col("id") % groups > 0, F.col("id") % groups).alias("g"))
     found = numbered(df.repartition(7), F.col("v").desc(), within=["g"])
     wanted, seen = [], {}
     for v, g in sorted(((r["v"], r["g"]) for r in df.collect()), key=lambda r: (str(r[1]), -r[0])):

