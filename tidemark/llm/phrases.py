@@ -6,16 +6,16 @@ is frequent from ``least`` occurrences on.
 
 A sample of the texts proposes phrases.  The full pass counts, over all texts, the proposed ones and
 their negative border: all words, and every longer phrase whose two parts (without its last and
-without its first word) are proposed.  If that finds a frequent phrase that was not proposed, the
-border has failed, and the expansion pass counts what no pass has counted of the phrases whose
-parts are frequent, or are counted in that very pass.  With that the counts are closed: a frequent phrase
-has frequent parts, and each of these is known to be frequent before the expansion or counted in it.
-The longest phrases need no proposal, as nothing is built on them.
+without its first word) are proposed.  It counts under 64-bit hashes, a number in place of a text in
+every row that is shuffled.  Phrases that share a hash are counted together, so such a count is
+never too low, and what it rules out is not frequent.
 
-These passes count under 64-bit hashes, a number in place of a text in every row that is shuffled.
-Phrases that share a hash are counted together, so such a count is never too low, and what it
-rules out is not frequent.  The last pass counts what is left by the phrases themselves, and its
-counts are the result: exact, whatever the hashes do.
+The second pass counts what is left by the phrases themselves, and its counts are the result: exact,
+whatever the hashes do.  If the first has found a frequent phrase that was not proposed, the
+border has failed, and the second pass is an expansion as well: it also counts what the first has
+not counted of the phrases whose parts are frequent, or are counted in this very pass.  With that the
+counts are closed: a frequent phrase has frequent parts, and each of these is known to be frequent
+before the expansion or counted in it.  The longest phrases need no proposal, as nothing is built on them.
 
 What is proposed or frequent goes to the tasks as bit sets of fixed size (two bits a phrase).  A phrase that
 a bit set holds by chance is counted like the others, so the sets never grow with the corpus; when
@@ -173,59 +173,69 @@ def _held(level: Level, bits: np.ndarray | None, among: np.ndarray | None = None
     return found
 
 
-def hash_counts(unit: Unit, longest: int, passes: list[np.ndarray | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(number of words, hashes, counts) of what the last of ``passes`` counts in a unit and no earlier one has.
+def _held_words(ids: np.ndarray, hashes: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+    """The places whose word is in the bit set; each word is looked up once."""
+    held = holds(bits, hashes)
+    held[0] = False
+    return held[ids]
 
-    Each pass is the bit set that it tests parts of phrases against, None for one that holds all.
-    """
+
+def _per_word(ids: np.ndarray, none: np.ndarray, words: list[bytes]) -> np.ndarray:
+    counts = np.bincount(ids[~none], minlength=len(words))
+    counts[0] = 0
+    return counts
+
+
+def hash_counts(unit: Unit, longest: int, proposed: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of words, hashes, counts) of the words of a unit and the phrases whose parts are in the bit set (None holds all)."""
     ids, none, words, hashes = unit.take()
-    if len(passes) == 1:
-        per_word = np.bincount(ids[~none], minlength=len(words))
-        per_word[0] = 0
-        present = np.flatnonzero(per_word)
-        yield 1, hashes[present], per_word[present]
+    per_word = _per_word(ids, none, words)
+    present = np.flatnonzero(per_word)
+    yield 1, hashes[present], per_word[present]
     if longest == 1 or len(ids) < 2:
         return
-    level = _first(ids, hashes)
-    inside = [_held(level, bits) for bits in passes]
+    level, parts = _first(ids, hashes), _held_words(ids, hashes, proposed)
     for length in range(2, longest + 1):
         if len(ids) < length:
             return
         level = _next(level, ids, hashes)
-        seen, fresh = np.zeros(len(level.alive), bool), []
-        for one in inside:
-            due = one[:-1] & one[1:] & level.alive
-            fresh.append(due & ~seen)
-            seen |= due
-        now = fresh[-1] & ~none[:len(level.alive)]
+        due = parts[:-1] & parts[1:] & level.alive
+        now = due & ~none[:len(due)]
         if now.any():
             yield (length, *np.unique(level.hashes[now], return_counts=True))
         if length < longest:
-            inside = [_held(level, bits) | fresh[n] if n else _held(level, bits) for n, bits in enumerate(passes)]
+            parts = _held(level, proposed)
+
 
+def named_counts(unit: Unit, longest: int, frequent: np.ndarray, proposed: np.ndarray | None = None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of the frequent phrases of a unit; the empty phrase has the total of words.
 
-def named_counts(unit: Unit, longest: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of what the bit set holds in a unit; the empty phrase has the total of words."""
+    With ``proposed``, also of the phrases that ``hash_counts`` has not counted under that bit
+    set, though their parts are frequent or among these phrases themselves.
+    """
     ids, none, words, hashes = unit.take()
     texts = pa.array(words, pa.binary())
-    per_word = np.bincount(ids[~none], minlength=len(words))
-    per_word[0] = 0
+    per_word = _per_word(ids, none, words)
     yield pa.array([b""], pa.binary()), np.array([per_word.sum()])
-    present = np.flatnonzero((per_word > 0) & holds(bits, hashes))
+    present = np.flatnonzero((per_word > 0) & holds(frequent, hashes))
     yield texts.take(pa.array(present)), per_word[present]
     if longest == 1 or len(ids) < 2:
         return
-    level, code = _first(ids, hashes), ids
-    frequent = _held(level, bits)
+    level, code, parts = _first(ids, hashes), ids, _held_words(ids, hashes, frequent)
+    counted = None if proposed is None else _held_words(ids, hashes, proposed)
     for length in range(2, longest + 1):
         if len(ids) < length:
             return
         level = _next(level, ids, hashes)
-        frequent = _held(level, bits, frequent[:-1] & frequent[1:] & level.alive)
+        both = parts[:-1] & parts[1:] & level.alive
+        parts = _held(level, frequent, both)
+        if proposed is not None:
+            parts |= both & ~(counted[:-1] & counted[1:])
+            counted = _held(level, proposed, both) if length < longest else None
         if (int(code.max(initial=0)) + 1) * len(words) >= 2 ** 62:
             code = np.unique(code, return_inverse=True)[1]
         code = code[:-1] * len(words) + ids[length - 1:]         # tells phrases apart, as hashes might not
-        places = np.flatnonzero(frequent & ~none[:len(frequent)])
+        places = np.flatnonzero(parts & ~none[:len(parts)])
         if len(places):
             _, first, number = np.unique(code[places], return_index=True, return_counts=True)
             begun = places[first]
@@ -266,10 +276,10 @@ def _units(batches: Iterator[pa.RecordBatch], unit: int, longest: int) -> Iterat
     yield from [u for u in units.values() if u.size]
 
 
-def _counted(texts: DataFrame, passes: list[Broadcast | None], longest: int, least: int, unit: int) -> DataFrame:
-    """(hash, words, n) of what the last of ``passes`` is the first to count and finds at least ``least`` times."""
+def _counted(texts: DataFrame, proposed: Broadcast | None, longest: int, least: int, unit: int) -> DataFrame:
+    """(hash, words, n) of proposed phrases and their border, where there are at least ``least``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [None if shared is None else shared.value for shared in passes]
+        known = None if proposed is None else proposed.value
         with np.errstate(over="ignore"):
             for one in _units(batches, unit, longest):
                 for words, hashes, counts in hash_counts(one, longest, known):
@@ -283,12 +293,13 @@ def _counted(texts: DataFrame, passes: list[Broadcast | None], longest: int, lea
     return rows.groupBy("hash").agg(F.max("words").alias("words"), F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _named(texts: DataFrame, shared: Broadcast, longest: int, least: int, unit: int) -> DataFrame:
-    """(lang, words, phrase, n) of the frequent phrases that the bit set holds, and with 0 words the total per language."""
+def _named(texts: DataFrame, frequent: Broadcast, proposed: Broadcast | None, longest: int, least: int, unit: int) -> DataFrame:
+    """(lang, words, phrase, n) of the frequent phrases, and with 0 words the total per language; expanded if ``proposed`` is given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if proposed is None else proposed.value
         with np.errstate(over="ignore"):
             for one in _units(batches, unit, longest):
-                for phrases, counts in named_counts(one, longest, shared.value):
+                for phrases, counts in named_counts(one, longest, frequent.value, known):
                     for start in range(0, len(phrases), 65536):
                         part = phrases.slice(start, 65536)
                         yield pa.RecordBatch.from_arrays([pa.array([one.lang] * len(part)), part.cast(pa.string()),
@@ -341,19 +352,15 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     """(lang, words, phrase, n) of all frequent phrases of up to ``longest`` words, and with 0 words the total per language.
 
     ``share`` of the texts, chosen by their hash, propose what they hold at least twice, or as often
-    as ``least`` times the share.  Runs jobs for the sample and for two or three full passes.
+    as ``least`` times the share.  Runs jobs for the sample and for two full passes.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     lowered = min(least, max(2, int(least * share)))
-    proposed = stage(_counted(sample, [None], max(longest - 1, 1), lowered, unit), "phrases-proposed")
-    passes = [bit_set(proposed, bits)]
-    found = stage(_counted(texts, passes, longest, least, unit), "phrases-counted")
-    parts = found.where(F.col("words") < longest)
-    if _outside(parts, passes[0]):
-        passes.append(bit_set(parts, bits))
-        found = found.unionByName(stage(_counted(texts, passes, longest, least, unit), "phrases-expanded"))
-    return stage(_named(texts, bit_set(found, bits), longest, least, unit), "phrases-named")
+    proposed = bit_set(stage(_counted(sample, None, max(longest - 1, 1), lowered, unit), "phrases-proposed"), bits)
+    found = stage(_counted(texts, proposed, longest, least, unit), "phrases-counted")
+    failed = _outside(found.where(F.col("words") < longest), proposed)
+    return stage(_named(texts, bit_set(found, bits), proposed if failed else None, longest, least, unit), "phrases-named")
 
 
 def _joined(words: Column) -> Column:
