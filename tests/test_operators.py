@@ -15,7 +15,8 @@ from tidemark.operators.labels import group_by_labels, label_lists, label_member
 from tidemark.operators.payloads import parse_json, quarantine
 from tidemark.operators.projections import flatten, originals, pack, renamed, require, where, with_derived
 from tidemark.operators.ranking import numbered, preview, sort_by, top_k, top_per_group
-from tidemark.operators.reuse import reuse
+from tidemark.operators import reuse as reuse_module
+from tidemark.operators.reuse import choose, reuse
 from tidemark.operators.sampling import sample_stratified, sample_uniform, strata_fractions
 from tidemark.operators.sets import intersect, subtract, union_distinct
 from tidemark.operators.words import texts_of, tokens, top_words_ending, word_count
@@ -253,14 +254,28 @@ def test_best_in_group_breaks_ties_by_name(spark):
     assert [tuple(r) for r in dashboard_sql(df, "best_view").collect()] == want[::-1]
 
 
-def test_reuse_gives_the_same_rows_and_lets_go(spark):
+@pytest.mark.parametrize("how", ["again", "cache", "stage", "auto"])
+def test_reuse_gives_the_same_rows_and_lets_go(spark, how):
     numbers = spark.range(1, 10001)
     kept = numbers.where("id > 5000")
     plain = rows(kept.select(F.col("id") * 2))
-    with reuse(kept) as cached:
-        assert cached.is_cached
-        assert rows(cached.select(F.col("id") * 2)) == plain and len(plain) == 5000
+    with reuse(kept, how=how) as held:
+        assert held.is_cached == (how == "cache")
+        assert rows(held.select(F.col("id") * 2)) == plain and len(plain) == 5000
     assert not kept.is_cached
+    with pytest.raises(ValueError, match="unknown way"), reuse(kept, how="hope"):
+        pass
+
+
+def test_what_is_kept_depends_on_what_it_costs_and_takes(spark, sf_dir, monkeypatch):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    light = orders.where("o_totalprice > 1000 AND o_orderstatus IN ('F', 'O')").selectExpr("o_orderkey + 1 AS k", "o_custkey")
+    assert choose(light) == choose(spark.range(9).where("id % 3 = 1")) == "again"
+    heavy = [orders.groupBy("o_custkey").count(), orders.join(light, "o_custkey"), orders.select(F.upper("o_orderstatus")),
+             orders.where(F.col("o_orderpriority").rlike("^1")), orders.select(F.explode(F.array("o_orderkey", "o_custkey")))]
+    assert [choose(df) for df in heavy] == ["cache"] * 5
+    monkeypatch.setattr(reuse_module, "free_storage", lambda df: 100)
+    assert [choose(df) for df in heavy] == ["stage"] * 5 and choose(light) == "again"
 
 
 LINES = ['{"tweet": "El DÍA, la casa!", "likes": 1}', '{"likes": 2}', '{"tweet": null}', '{"tweet": ""}',

@@ -163,7 +163,7 @@ def guarded_arithmetic(spark, sf_dir):
 @book.query("PHY-1 PRJ-6 PRJ-7", """SELECT o_orderkey AS n, o_orderkey * 2 AS doubled FROM orders
                                     WHERE o_totalprice > 250000""")
 def reused_filter(spark, sf_dir):
-    """The filtered rows serve two jobs from the cache: their number and their doubles."""
+    """Two jobs read the filtered rows, their number and their doubles: a filter is repeated rather than kept."""
     kept = read(spark, sf_dir, "orders").where("o_totalprice > 250000").select(F.col("o_orderkey").alias("n"))
     with reuse(kept) as rows:
         rows.count()

@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.payload import json_field
 from tidemark.functions.text import char_length, html_to_text, normalized, without_tags
+from tidemark.operators.reuse import reuse
 from tidemark.operators.words import tokens, top_words_ending, word_count
 from tidemark.plans.wordlist import frequent_words
 from tidemark.registry import QueryBook, read
 from tidemark.registry.aggregates import WORDS
-from tidemark.scratch import scratch_path
+from tidemark.scratch import scratch_path, stage
 
 book = QueryBook()
 
@@ -43,6 +44,21 @@ def word_counts(spark, sf_dir):
     return word_count(tokens(read(spark, sf_dir, "documents"), "text"))
 
 
+def shares_of_words(spark, sf_dir, how="auto"):
+    """Three jobs over the word counts, which take a pass over all texts: their total, the greatest, and the shares."""
+    counts = word_count(tokens(read(spark, sf_dir, "documents"), "text"))
+    with reuse(counts, how=how) as kept:
+        total, most = kept.agg(F.sum("n")).first()[0], kept.agg(F.max("n")).first()[0]
+        return stage(kept.select("word", "n", (F.col("n") / F.lit(total)).alias("share"), (F.col("n") == F.lit(most)).alias("most")), "shares")
+
+
+@book.query("PHY-1 TXT-4", COUNTS + """
+SELECT word, n, n::DOUBLE / (SELECT sum(n) FROM counts) AS share, n = (SELECT max(n) FROM counts) AS most FROM counts""")
+def word_shares(spark, sf_dir):
+    """The counts are kept for the jobs that read them."""
+    return shares_of_words(spark, sf_dir)
+
+
 @book.query("TXT-5 SRT-2 TXT-1 SRC-1", COUNTS + """
 SELECT word, n FROM counts
 WHERE right(word, 1) IN ('a', 'e', 'i', 'o', 'u', 'à', 'è', 'é', 'í', 'ï', 'ò', 'ó', 'ú', 'ü')
