@@ -383,15 +383,15 @@ def test_a_second_compaction_joins_buckets_without_shuffling_the_first(spark, fo
     path = f"{folder}/totals"
     table = BatchTable(spark, path)
     table(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("n")), 0)
-    table.compact("k", buckets=3)
+    table.compact("k")
     table(spark.range(5).select(F.col("id").alias("k"), F.lit(2).alias("n")), 1)
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         newest = BatchTable(spark, path).latest_by("k")
         plan = newest._jdf.queryExecution().executedPlan().toString()
-        assert "SelectedBucketsCount: 3 out of 3" in plan
-        join = plan[plan.index("SortMergeJoin"):plan.index("SelectedBucketsCount: 3 out of 3")]
+        assert "SelectedBucketsCount: 4 out of 4" in plan
+        join = plan[plan.index("SortMergeJoin"):plan.index("SelectedBucketsCount: 4 out of 4")]
         assert "Exchange" not in join
         assert newest.groupBy("n").count().orderBy("n").collect() == [(1, 995), (2, 5)]
     finally:

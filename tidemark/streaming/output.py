@@ -174,8 +174,8 @@ class BatchTable:
         once no reader that began before needs them.
         """
         entry = self.last_compaction()
-        fits = entry is not None and list(entry["keys"]) == list(keys)
-        buckets = buckets or (entry["buckets"] if fits else int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        # With fewer buckets than the session has shuffle partitions, Spark would rather shuffle both sides.
+        buckets = buckets or max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), entry["buckets"] if entry is not None else 1)
         rows = self.latest_by(*keys, with_batch=True)
         upto, name = self.last, f"compacting_{uuid.uuid4().hex}"
         location = f"{self.path}/_compactions/upto={upto}-{uuid.uuid4().hex}"
