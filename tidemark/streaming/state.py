@@ -19,7 +19,8 @@ def stateful_update(stream: DataFrame, keys: Sequence[str], order: Sequence[str]
     """Call ``update`` for every key with new rows in a micro-batch, with the state it returned last.
 
     Rows of a key come as one pandas frame sorted by ``order``, so a key's rows of one
-    micro-batch have to fit in memory: cap the input per trigger.  A new state of None
+    micro-batch have to fit in memory: cap the input per trigger, or, where their order does
+    not matter, take ``keyed.fold_state``, which holds one frame.  A new state of None
     drops the key.  With ``idle`` (milliseconds) a key without rows for so long, by
     processing time, is dropped as well, after ``expire`` had its last say.
     """
