@@ -300,6 +300,26 @@ def test_streams_start_at_offsets_and_keep_to_the_cap(spark, folder):
         stream_records(spark, "files", path, per_trigger=4)
 
 
+def test_named_start_offsets_cost_a_micro_batch_no_join(spark, folder):
+    """Stated offsets are a filter of the scan; partitions not named come from their first record on."""
+    path = os.path.join(folder, "records")
+    write_records(_numbers(spark, 0, 30), "files", path, topic="t", records_per_file=3, order_by=F.col("key").cast("string").cast("long"))
+    table = BatchTable(spark, os.path.join(folder, "out"))
+    arriving = stream_records(spark, "files", path, start={"t": {0: 5, 1: LATEST}, "other": {2: 4}}, per_trigger=3)
+    query = drain(for_each_batch(arriving, table))
+    assert _held(table.all_batches()) == [(0, o, 3 * o) for o in range(5, 10)] + [(2, o, 3 * o + 2) for o in range(10)]
+    assert "Join" not in query._jsq.explainInternal(False)
+
+
+def test_a_long_run_of_micro_batches_compacts_its_log_seldom(spark, folder):
+    """The whole log of files is not rewritten every ten micro-batches."""
+    path, checkpoint = os.path.join(folder, "records"), os.path.join(folder, "checkpoint")
+    write_records(_numbers(spark, 0, 12, "0"), "files", path, topic="t", records_per_file=1)
+    drain(for_each_batch(stream_records(spark, "files", path, per_trigger=1), lambda batch, n: None, checkpoint=checkpoint))
+    held = os.listdir(os.path.join(checkpoint, "sources", "0"))
+    assert "11" in held and not [name for name in held if name.endswith(".compact")]
+
+
 def test_a_write_that_dies_leaves_a_gap_and_no_offset_twice(spark, folder):
     path = os.path.join(folder, "records")
     write_records(_numbers(spark, 0, 4, "0"), "files", path, topic="t")
