@@ -134,6 +134,26 @@ def test_sessions_close_by_watermark_and_merge_out_of_order_rows(spark, folder):
     assert got() == [("a", 1, 0.0, 70.0, 3), ("a", 2, 150.0, 150.0, 1), ("b", 1, 5.0, 5.0, 1), ("c", 1, 200.0, 200.0, 1)]
 
 
+def test_a_key_has_one_timer_however_many_sessions_are_open(spark, folder):
+    feed = Feed(spark, folder, "ts TIMESTAMP_NTZ, lang STRING")
+    table = BatchTable(spark, f"{folder}/sessions")
+    timers = []
+
+    def push(*rows):
+        feed.push(*rows)
+        query = drain(for_each_batch(sessions(feed.stream(), ["lang"], "ts", 60, "2000 seconds"), table, checkpoint=feed.checkpoint))
+        timers.append([p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress if p["numInputRows"]])
+        return sorted((r["session"], (r["first_seen"] - START).total_seconds(), (r["last_seen"] - START).total_seconds(), r["n"])
+                      for r in table.all_batches().where("lang = 'a' OR lang IS NULL").collect())
+
+    assert push(*[(at(200 * n), "a") for n in range(6)]) == []
+    # The first session grows, so its timer moves; the watermark, at 150, closes it and leaves five.
+    assert push((at(50), "a"), (at(2150), "b")) == [(1, 0.0, 50.0, 2)]
+    assert push((at(230), "a"), (at(2350), "b")) == [(1, 0.0, 50.0, 2), (2, 200.0, 230.0, 2)]
+    assert push((at(90_000), "b")) == [(1, 0.0, 50.0, 2), (2, 200.0, 230.0, 2), *((n + 1, 200.0 * n, 200.0 * n, 1) for n in range(2, 6))]
+    assert timers[0] == [1] and all(n <= 2 for held in timers for n in held), timers
+
+
 def test_merged_spans():
     assert merged([(0, 5, 2), (20, 30, 1), (10, 12, 4)], 5) == [(0, 12, 6), (20, 30, 1)]
     assert merged([(0, 50, 2), (10, 20, 1)], 1) == [(0, 50, 3)] and merged([], 1) == []

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.streaming.keyed import Entries, Items, Keyed, Value, fold_state
+from tidemark.streaming.keyed import Entries, Keyed, Value, fold_state
 from tidemark.streaming.windows import with_watermark
 
 
@@ -39,36 +40,41 @@ def sessions(stream: DataFrame, keys: Sequence[str], ts: str, gap: int, delay: s
         return (last + span) // 1000 + 1
 
     def on_rows(keyed: Keyed, frame: pd.DataFrame) -> None:
-        at = frame["at"][(frame["at"] + span) // 1000 + 1 > keyed.now].sort_values()
+        at = frame["at"].to_numpy()
+        at = np.sort(at[(at + span) // 1000 + 1 > keyed.now])
         if not len(at):
             return
-        part = (at.diff() > span).cumsum()
-        new = at.groupby(part).agg(["min", "max", "size"]).itertuples(index=False, name=None)
-        before = [tuple(r) for r in keyed["open"].get()]
-        after = merged([*before, *((int(a), int(b), int(n)) for a, b, n in new)], span)
-        keyed["open"].put(after)
-        old, fresh = {due(last) for _, last, _ in before}, {due(last) for _, last, _ in after}
-        for when in old - fresh:
-            keyed.drop_timer(when)
-        for when in fresh - old:
-            keyed.set_timer(when)
+        cuts = np.flatnonzero(np.diff(at) > span) + 1
+        starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(at)]))
+        new = zip(at[starts].tolist(), at[ends - 1].tolist(), (ends - starts).tolist())
+        closed, before = held(keyed)
+        keep(keyed, closed, merged([*before, *new], span), before)
+
+    def held(keyed: Keyed) -> tuple[int, list[tuple[int, int, int]]]:
+        closed, *spans = keyed.value("spans", (0, [], [], []))
+        return closed, list(zip(*spans))
+
+    def keep(keyed: Keyed, closed: int, spans: list[tuple], before: Sequence[tuple] = ()) -> None:
+        """The one timer of a key stands at the first of its spans to close."""
+        keyed["spans"].update((closed, *(map(list, zip(*spans)) if spans else ([], [], []))))
+        old, fresh = (due(min(last for _, last, _ in found)) if found else None for found in (before, spans))
+        if old != fresh:
+            if old is not None:
+                keyed.drop_timer(old)
+            if fresh is not None:
+                keyed.set_timer(fresh)
 
     def on_timer(keyed: Keyed, when: int) -> pd.DataFrame | None:
-        spans = sorted(tuple(r) for r in keyed["open"].get())
-        closed = [s for s in spans if due(s[1]) <= keyed.now]
-        if not closed:
+        number, spans = held(keyed)
+        done = [s for s in spans if due(s[1]) <= keyed.now]
+        if not done:
             return None
-        number = keyed.value("closed", (0,))[0]
-        left = [s for s in spans if due(s[1]) > keyed.now]
-        keyed["closed"].update((number + len(closed),))
-        if left:
-            keyed["open"].put(left)
-        else:
-            keyed["open"].clear()
-        return pd.DataFrame([(*keyed.key, number + i, *s) for i, s in enumerate(closed, 1)],
-                            columns=[*names, "session", "first", "last", "n"])
+        keep(keyed, number + len(done), [s for s in spans if due(s[1]) > keyed.now])
+        firsts, lasts, counts = zip(*done)
+        return pd.DataFrame({**{name: [k] * len(done) for name, k in zip(names, keyed.key)},
+                             "session": range(number + 1, number + len(done) + 1), "first": firsts, "last": lasts, "n": counts})
 
-    found = fold_state(rows, names, {"open": Items("first BIGINT, last BIGINT, n BIGINT"), "closed": Value("n BIGINT")}, on_rows,
+    found = fold_state(rows, names, {"spans": Value("closed BIGINT, first ARRAY<BIGINT>, last ARRAY<BIGINT>, n ARRAY<BIGINT>")}, on_rows,
                        f"{kinds}, session BIGINT, first BIGINT, last BIGINT, n BIGINT", on_timer=on_timer)
     return found.select(*[F.col(name).alias(k) for name, k in zip(names, keys)], "session", F.timestamp_micros("first").alias("first_seen"),
                         F.timestamp_micros("last").alias("last_seen"), "n")
