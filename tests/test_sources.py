@@ -13,6 +13,7 @@ from tidemark.functions.timing import date_and_time
 from tidemark.plans.validated_copy import publish_csv
 from tidemark.plans.wordlist import frequent_words
 from tidemark.scratch import scratch_root
+from tidemark.session import LOCAL_SETTINGS, pin_session
 from tidemark.sources.catalog import catalog_tables, register, scan_table, unregister
 from tidemark.sources.files import infer_schema, merged_schema, value_schema, scan_csv, scan_json, scan_lines
 from tidemark.sources.integrity import (ValidationError, file_digests, file_manifest, publish_validated,
@@ -320,6 +321,61 @@ def test_a_long_run_of_micro_batches_compacts_its_log_seldom(spark, folder):
     assert "11" in held and not [name for name in held if name.endswith(".compact")]
 
 
+def test_many_small_files_are_full_and_spread_evenly_over_the_writers(spark, folder):
+    """Each task opens as many files, of records next to each other, and only the last file is not full."""
+    path = os.path.join(folder, "records")
+    by_number = F.col("key").cast("string").cast("long")
+    write_records(_numbers(spark, 0, 200, "CASE WHEN id < 150 THEN 0 ELSE id % 3 END"), "files", path, topic="t", records_per_file=3, order_by=by_number)
+    write_records(_numbers(spark, 200, 301, "id % 2"), "files", path, topic="t", records_per_file=3, order_by=by_number)
+    place, held = {p: 0 for p in range(3)}, []
+    for i in range(301):
+        p = 0 if i < 150 else i % 3 if i < 200 else i % 2
+        held.append((p, place[p], i))
+        place[p] += 1
+    assert _held(read_backlog(spark, "files", path)) == sorted(held)
+    for write, total in ((1, 200), (2, 101)):
+        files = spark.read.parquet(f"{path}/write={write}").select("*", F.col("_metadata.file_name").alias("file"))
+        sizes = sorted(n for _, n in rows(files.groupBy("file").agg(F.count(F.lit(1)))))
+        assert sizes == [total % 3] + [3] * (total // 3)
+        writers = 4 * spark.sparkContext.defaultParallelism
+        opened = rows(files.groupBy(F.substring("file", 1, 10).alias("task")).agg(F.countDistinct("file").alias("n")).select("n"))
+        assert len(opened) == writers and max(opened)[0] - min(opened)[0] <= 1
+        assert files.groupBy("file", "partition").agg((F.max("offset") - F.min("offset") + 1 - F.count(F.lit(1))).alias("gaps")).where("gaps > 0").count() == 0
+
+
+def test_checkpoints_on_a_local_disk_are_plain_files(spark, folder, monkeypatch):
+    """No program is run for a rename there; a shared store, and an owner's choice, keep their way."""
+    name, ours = next(iter(LOCAL_SETTINGS.items()))
+    assert pin_session(spark.newSession()).conf.get(name) == spark.conf.get(name) == ours
+    chosen = spark.newSession()
+    chosen.conf.set(name, ours.replace("FileSystemBased", "FileContextBased"))
+    assert pin_session(chosen).conf.get(name) != ours
+    monkeypatch.setattr("tidemark.session.has_local_scratch", lambda _: False)
+    assert pin_session(spark.newSession()).conf.get(name, None) is None
+    path, checkpoint = os.path.join(folder, "records"), os.path.join(folder, "checkpoint")
+    write_records(_numbers(spark, 0, 4, "0"), "files", path, topic="t", records_per_file=1)
+    tables = []
+    for session in (spark, chosen):     # the same checkpoint, taken up another way
+        table = BatchTable(session, os.path.join(folder, f"out{len(tables)}"))
+        drain(for_each_batch(stream_records(session, "files", path, per_trigger=1), table, checkpoint=checkpoint))
+        if not tables:
+            assert len(os.listdir(f"{checkpoint}/commits")) == 8        # a file and its checksum each
+        tables.append(table)
+        write_records(_numbers(spark, 4, 6, "0"), "files", path, topic="t", records_per_file=1)
+    assert [len(_held(t.all_batches())) for t in tables] == [4, 2]
+
+
+def test_a_small_micro_batch_is_written_in_few_files(spark, folder):
+    out = os.path.join(folder, "out")
+    table = BatchTable(spark, out)
+    table(spark.range(0, 100, 1, 8), 0)
+    assert sorted(name[:4] for name in os.listdir(f"{out}/batch=0") if not name.startswith(".")) == ["part", "part"]
+    table(spark.range(0, 1_000_000, 1, 8), 1)
+    assert len([name for name in os.listdir(f"{out}/batch=1") if name.startswith("part")]) == 8
+    assert rows(table.all_batches().groupBy("batch").agg(F.count(F.lit(1)), F.sum("id"))) == [
+        (0, 100, 4950), (1, 1_000_000, 499999500000)]
+
+
 def test_a_write_that_dies_leaves_a_gap_and_no_offset_twice(spark, folder):
     path = os.path.join(folder, "records")
     write_records(_numbers(spark, 0, 4, "0"), "files", path, topic="t")
